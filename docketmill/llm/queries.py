@@ -8,6 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import prepare, table
 from .exact_dedup import exact_dedup
+from .packing import best_fit_packing
+from .sentencepiece_codec import encode_decode
+from .token_counts import token_counts
+from .token_shards import new_folder, read_shards, write_shards
+
+
+def vocabulary_file(name: str) -> str:
+    """The place of a public tokenizer's file on the machine that asks; it is the same on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return encode_decode(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +36,22 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return read_shards(write_shards(table(spark, sf_dir, "documents"), vocabulary_file("byte_bpe_50k.json"), new_folder(spark)))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return best_fit_packing(table(spark, sf_dir, "documents"), vocabulary_file("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": op3_token_counts,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_shards": op8_token_shards,
+    "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
