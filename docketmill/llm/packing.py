@@ -34,8 +34,10 @@ CAPACITY = 2048
 #: Pieces that may be left to best-fit; of small inputs an eighth at most.
 RESIDUAL = 4000
 #: Rounds in which a configuration takes only a share of what is left, for even progress.
-ROUNDS = 2500
-SHARE, RATE = 0.25, 3.0
+ROUNDS = 1200
+SHARE, RATE = 0.25, 0.1
+#: Share of the tokens whose shortest pieces wait for best-fit, where they close gaps.
+RESERVE = 0.03
 
 
 def knapsack(value: np.ndarray, capacity: int) -> list[int]:
@@ -68,8 +70,10 @@ def plan_configurations(counts: np.ndarray, capacity: int = CAPACITY, residual:
     if left[capacity]:
         plan.append(([capacity], int(left[capacity])))
         left[capacity] = 0
-    first = left.copy()
     size = np.arange(capacity + 1)
+    kept = reserve(left, min(residual, int(left.sum()) // 4))
+    left -= kept
+    first = left.copy()
     mass = max(1, int((size * first).sum()))
     residual, turn = min(residual, int(left.sum()) // 8), 0
     while left.sum() > residual:
@@ -77,22 +81,32 @@ def plan_configurations(counts: np.ndarray, capacity: int = CAPACITY, residual:
         done = 1 - (size * left).sum() / mass
         behind = np.where(first > 0, left / np.maximum(first, 1), 0) - (1 - done)
         value = np.where(left > 0, size / capacity * np.exp(RATE * np.clip(behind, -1, 1)), -np.inf)
-        need = Counter(knapsack(value, capacity))
-        taken = {s: min(a, int(left[s])) for s, a in need.items()}
-        room = capacity - sum(s * a for s, a in taken.items())
-        while room > 0:  # what the counts cut off is filled with the largest that fits
-            fits = np.flatnonzero(left[: room + 1])
-            fits = [s for s in fits[::-1].tolist() if left[s] > taken.get(s, 0)]
-            if not fits:
+        taken: Counter[int] = Counter()
+        room = capacity
+        while room > 0:
+            # What the counts cut off, a smaller knapsack fills as full as it can.
+            more = Counter(knapsack(value[: room + 1], room))
+            more = {x: min(a, int(left[x]) - taken[x]) for x, a in more.items() if left[x] > taken[x]}
+            if not more:
                 break
-            taken[fits[0]] = taken.get(fits[0], 0) + 1
-            room -= fits[0]
+            taken.update(more)
+            room = capacity - sum(x * a for x, a in taken.items())
+            value = np.where(left[: capacity + 1] > np.array([taken[x] for x in range(capacity + 1)]), size / capacity, -np.inf)
         most = min(int(left[s]) // a for s, a in taken.items())
         times = max(1, int(most * SHARE)) if turn <= rounds else most
         for s, a in taken.items():
             left[s] -= a * times
         plan.append(([s for s in sorted(taken, reverse=True) for _ in range(taken[s])], times))
-    return plan + [(bin_, 1) for bin_ in best_fit(left, capacity)]
+    return plan + [(bin_, 1) for bin_ in best_fit(left + kept, capacity)]
+
+
+def reserve(counts: np.ndarray, most: int) -> np.ndarray:
+    """The shortest pieces, up to a number and to a share of all tokens."""
+    size = np.arange(len(counts))
+    before = np.cumsum(counts) - counts
+    tokens = np.cumsum(counts * size) - counts * size
+    by_tokens = (RESERVE * (counts * size).sum() - tokens) // np.maximum(size, 1)
+    return np.clip(np.minimum(most - before, by_tokens), 0, counts).astype(np.int64)
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[list[int]]:
