@@ -60,20 +60,17 @@ def heavy_digests(digests: DataFrame, column: str, k: int = HEAVY) -> DataFrame:
     return top.select("digest")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = HEAVY) -> DataFrame:
-    """One row per input row: id, keep_id, group_size, kept, text_sha256.
-
-    Of equal normalised texts the row with the most code points in the original text, then the
-    smallest id, stays.
-    """
+def _measured(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
+    return [
         F.col(id_col).alias("doc_id"),
         F.length(text).cast("long").alias("_len"),
         F.unhex(F.sha2(normalised(F.col(text_col)).cast("binary"), 256)).alias("digest"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    rows = durable(rows)
+    ]
+
+
+def decide(rows: DataFrame, k: int = HEAVY) -> DataFrame:
+    """rows (doc_id, _len, digest, _row; durable, _row unique) with _best, the row that stays, and group_size."""
     heavy = heavy_digests(rows, "digest", k)
     # The smallest of (-length, null last, id, row) is the row that stays.
     order = F.struct((-F.col("_len")).alias("l"), F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("i"), F.col("_row").alias("r"))
@@ -83,16 +80,32 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .agg(F.min(order).alias("_best"), F.count("*").alias("group_size"))
     )
     winners = durable(winners)  # at most k rows
-    few = F.broadcast(winners)
-    easy = rows.join(few, "digest")
+    easy = rows.join(F.broadcast(winners), "digest")
     rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
     by = Window.partitionBy("digest")
     rest = rest.withColumns({"_best": F.min(order).over(by), "group_size": F.count("*").over(by)})
-    out = easy.select(*rest.columns).unionByName(rest)
-    return out.select(
+    return easy.select(*rest.columns).unionByName(rest)
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = HEAVY) -> DataFrame:
+    """One row per input row: id, keep_id, group_size, kept, text_sha256.
+
+    Of equal normalised texts the row with the most code points in the original text, then the
+    smallest id, stays.
+    """
+    rows = durable(docs.select(*_measured(docs, id_col, text_col), F.monotonically_increasing_id().alias("_row")))
+    return decide(rows, k).select(
         "doc_id",
         F.col("_best.i").alias("keep_id"),
         "group_size",
         (F.col("_row") == F.col("_best.r")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = HEAVY, most: int = 1_000_000) -> DataFrame:
+    """The rows of docs that stay. The rows that go are broadcast where a count finds at most `most`."""
+    numbered = durable(docs.withColumn("_row", F.monotonically_increasing_id()))
+    rows = durable(numbered.select(*_measured(numbered, id_col, text_col), "_row"))
+    gone = durable(decide(rows, k).filter(F.col("_row") != F.col("_best.r")).select("_row"))
+    return numbered.join(F.broadcast(gone) if gone.count() <= most else gone, "_row", "left_anti").select(docs.columns)

@@ -70,8 +70,10 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
-def near_links(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning set of the pairs within the radius inside each run of equal group numbers."""
+def near_links(fps: np.ndarray, group: np.ndarray, radius: int, also: np.ndarray | None = None, wide: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning set of the pairs within the radius inside each run of equal group numbers.
+
+    With a second signature in `also`, a pair must differ in at most `wide` bits of that one, too."""
     n = len(fps)
     label = np.arange(n)
     us, vs = [], []
@@ -82,6 +84,8 @@ def near_links(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndar
         at = at[group[at] == group[at + step]]
         a, b = at, at + step
         near = (label[a] != label[b]) & (np.bitwise_count(fps[a] ^ fps[b]) <= radius)
+        if also is not None:
+            near &= np.bitwise_count(also[a] ^ also[b]) <= wide
         a, b = a[near], b[near]
         if len(a):
             us.append(a)
@@ -101,15 +105,16 @@ def near_links(fps: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndar
     return (np.concatenate(us), np.concatenate(vs)) if us else (none, none)
 
 
-def fingerprint_links(fps: DataFrame, radius: int = 3, cell: int = CELL) -> DataFrame:
-    """Links (u, v) between distinct fingerprints (column fp) that connect all pairs within the radius."""
+def fingerprint_links(fps: DataFrame, radius: int = 3, cell: int = CELL, name: str = "fp", also: str | None = None, wide: int = 64) -> DataFrame:
+    """Links (u, v) between the names of fingerprints (column fp) that connect all pairs within the radius."""
+    fps = fps.select("fp", F.col(name).alias("name"), F.col(also or name).alias("also"))
     tables = F.array(*[F.struct(F.lit(k).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for k, m in enumerate(masks(radius))])
-    cells = fps.select("fp", F.explode(tables).alias("c")).select("fp", "c.t", "c.key")
+    cells = fps.select("fp", "name", "also", F.explode(tables).alias("c")).select("fp", "name", "also", "c.t", "c.key")
     sizes = cells.groupBy("t", "key").agg(F.count("*").alias("n")).filter("n > 1")
     met = cells.join(sizes, ["t", "key"]).withColumn("nb", F.ceil(F.col("n") / cell).cast("int"))
-    met = met.withColumn("b", F.pmod(F.xxhash64("fp"), F.col("nb")).cast("int"))
+    met = met.withColumn("b", F.pmod(F.xxhash64("name"), F.col("nb")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
-    met = met.select("t", "key", F.explode(parts).alias("p"), "fp").select("t", "key", "p.i", "p.j", "fp")
+    met = met.select("t", "key", F.explode(parts).alias("p"), "fp", "name", "also").select("t", "key", "p.i", "p.j", "fp", "name", "also")
     met = met.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,9 +124,9 @@ def fingerprint_links(fps: DataFrame, radius: int = 3, cell: int = CELL) -> Data
             fresh = np.zeros(part.num_rows, bool)
             for c in cols:
                 fresh[1:] |= c[1:] != c[:-1]
-            fp = part.column("fp").to_numpy()
-            u, v = near_links(fp.view(np.uint64), np.cumsum(fresh), radius)
-            yield pa.RecordBatch.from_pydict({"u": pa.array(fp[u], pa.int64()), "v": pa.array(fp[v], pa.int64())})
+            fp, names, second = (part.column(k).to_numpy() for k in ("fp", "name", "also"))
+            u, v = near_links(fp.view(np.uint64), np.cumsum(fresh), radius, second.view(np.uint64) if also else None, wide)
+            yield pa.RecordBatch.from_pydict({"u": pa.array(names[u], pa.int64()), "v": pa.array(names[v], pa.int64())})
 
     return met.mapInArrow(compare, "u long, v long")
 
@@ -136,3 +141,149 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     names = known.groupBy("root").agg(F.min("first").alias("component_id"))
     named = known.join(names, "root").select("fp", "component_id")
     return rows.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+#: For similar_documents(): fingerprints of the set of words, how far apart two may be, and how far the
+#: fingerprints of the shingles may be.
+FAMILIES, WORD_RADIUS, SHINGLE_RADIUS = 3, 4, 20
+#: Documents that one task compares with one another by their shingles.
+CLUSTER = 512
+
+
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    z = x + np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    if not len(hashes):
+        return 0
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 65_536):
+        ones += np.unpackbits(np.ascontiguousarray(hashes[at : at + 65_536]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
+
+
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        x = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return x
+
+
+_hashes = _WordHashes()
+
+
+def shingle_set(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of the word shingles (of all words where there are fewer), and of the words."""
+    if len(_hashes) > 500_000:
+        _hashes.clear()
+    w = text.encode("utf-8", "surrogatepass").lower().split()
+    h = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
+    if not len(h):
+        return h, h
+    size = min(words, len(h))
+    n = len(h) - size + 1
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = _mixed(out ^ h[k : k + n], k + 1)
+    return np.unique(out), np.unique(h)
+
+
+def _semi(df: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1_000_000) -> DataFrame:
+    """A semi or anti join; the keys are broadcast only where a count finds at most `most` of them."""
+    return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, families: int = FAMILIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, component) of each distinct (id, text) that is like another: Jaccard of word shingles.
+
+    Fingerprints of the sets of words, a few families of them, find loose clusters by covering tables; the
+    shingles' own fingerprint keeps chance meetings out of them. Inside each loose cluster the shingle
+    sets are compared exactly. mark is a hash of the text; component is the mark of its first member.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text).alias("mark"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for t in batch.column(1).to_pylist():
+                shingles, single = shingle_set(t, words)
+                out.append((_majority(_mixed(shingles, 101)), *(_majority(_mixed(single, 201 + f)) for f in range(families))))
+            cols = list(zip(*out)) or [()] * (families + 1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "mark", "s", *(f"f{k}" for k in range(families))])
+
+    signed = durable(rows.mapInArrow(sign, "doc_id long, mark long, s long, " + ", ".join(f"f{k} long" for k in range(families))))
+    links = None
+    for k in range(families):
+        part = fingerprint_links(signed.select("mark", "s", F.col(f"f{k}").alias("fp")).dropDuplicates(["mark"]), WORD_RADIUS, name="mark", also="s", wide=SHINGLE_RADIUS)
+        links = part if links is None else links.unionByName(part)
+    loose = durable(components(links))
+    sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
+    loose = durable(loose.join(sizes, "root").select(F.col("node").alias("mark"), "root", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = [shingle_set(t, words)[0].astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"mark": batch.column(0), "shingles": pa.array(data, pa.binary())})
+
+    known = _semi(rows, loose.select("mark"), ["mark"], "left_semi").select("mark", "text").mapInArrow(sets, "mark long, shingles binary").dropDuplicates(["mark"])
+    met = known.join(loose, "mark").withColumn("b", F.pmod(F.xxhash64("mark"), F.col("nb")).cast("int"))
+    parts = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
+    met = met.select("root", F.explode(parts).alias("p"), "mark", "shingles").select("root", "p.i", "p.j", "mark", "shingles")
+    met = met.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "mark")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = ["root", "i", "j"]
+        for part in sorted_groups(batches, keys):
+            spot = list(zip(*(part.column(k).to_pylist() for k in keys)))
+            marks = part.column("mark").to_pylist()
+            held = [np.frombuffer(x, "<u8") for x in part.column("shingles").to_pylist()]
+            us, vs, at = [], [], 0
+            while at < len(spot):
+                end = at
+                while end < len(spot) and spot[end] == spot[at]:
+                    end += 1
+                for a, b in set_links(held[at:end], similarity):
+                    us.append(marks[at + a])
+                    vs.append(marks[at + b])
+                at = end
+            yield pa.RecordBatch.from_pydict({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
+
+    same = components(met.mapInArrow(compare, "u long, v long"))
+    return signed.select("doc_id", "mark").distinct().join(same.select(F.col("node").alias("mark"), F.col("root").alias("component")), "mark")
+
+
+def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning list of the pairs of sets whose Jaccard similarity is high enough; empty sets are alike."""
+    label, out = list(range(len(sets))), []
+    for step in range(1, len(sets)):
+        for a in range(len(sets) - step):
+            b = a + step
+            if label[a] == label[b]:
+                continue
+            n, m = len(sets[a]), len(sets[b])
+            if min(n, m) < similarity * max(n, m):
+                continue
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            if both >= similarity * (n + m - both):
+                out.append((a, b))
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    return out
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs without those of a similar document with a smaller id; one of each group stays.
+
+    Rows that are equal in id and text are one document and stay or go together."""
+    found = durable(similar_documents(docs, words, similarity, FAMILIES, id_col, text_col))
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "mark")).alias("k"))
+    gone = durable(found.join(first, "component").filter("mark <> k.mark").select("mark"))
+    key = "_near_mark"
+    marked = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
+    return _semi(marked, gone.withColumnRenamed("mark", key), [key], "left_anti").select(docs.columns)
