@@ -3,7 +3,7 @@
 A chunk is a stretch of text that no token can cross: a word with the white-space marker before it.
 Each worker keeps a table from chunk to encoded bytes; every Arrow batch first finds its chunks that
 the table lacks, encodes those in one go, and then joins the encodings of each text in the order of
-its chunks. The table is emptied when it holds `limit` chunks, so its memory is bounded whatever the
+its chunks. The table is cut back when it holds `limit` chunks, so its memory is bounded whatever the
 number of distinct words is; the result does not depend on when that happens.
 
 A table per worker, not one shuffled table: almost every row of a corpus-wide join by chunk would be an
@@ -15,12 +15,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import filterfalse
+from itertools import filterfalse, islice
 
 import numpy as np
 
-#: Chunks that a worker holds at most.
-LIMIT = 500_000
+#: Chunks that a worker holds at most; at the limit the first third stays, which has the frequent ones.
+LIMIT = 1_000_000
+#: Chunks that are given to a tokenizer as one text.
+PACK = 40
 
 
 class Chunked:
@@ -43,7 +45,7 @@ class Chunked:
     def values(self, texts: list[str]) -> Iterable[list | None]:
         """For each text the values of its chunks in order, or None where it has to be encoded whole."""
         if len(self.table) > self.limit:
-            self.table = {}
+            self.table = dict(islice(self.table.items(), self.limit // 3))
         for text in texts:
             chunks = self.split(text)
             missing = set(filterfalse(self.table.__contains__, chunks))
@@ -76,17 +78,19 @@ def _tokenizer(path: str):
 
 
 def _packed(tok, raws: list[str], glue: str, mark: int) -> list[bytes]:
-    """Encode many chunks as one text, in which glue always becomes the lone id mark."""
-    if not raws:
-        return []
-    ids = np.array(tok.encode(glue.join(raws) + glue, add_special_tokens=False).ids, np.uint32)
-    ends = np.flatnonzero(ids == mark)
-    if len(ends) != len(raws):  # a chunk made the mark itself
-        return [np.array(tok.encode(r, add_special_tokens=False).ids, np.uint32).tobytes() for r in raws]
-    data, at, out = ids.astype("<u4").tobytes(), 0, []
-    for end in ends.tolist():
-        out.append(data[4 * at : 4 * end])
-        at = end + 1
+    """Encode many chunks as texts of PACK chunks each, in which glue always becomes the lone id mark."""
+    packs = [raws[at : at + PACK] for at in range(0, len(raws), PACK)]
+    out: list[bytes] = []
+    for part, done in zip(packs, tok.encode_batch_fast([glue.join(p) + glue for p in packs], add_special_tokens=False)):
+        ids = np.array(done.ids, "<u4")
+        ends = np.flatnonzero(ids == mark).tolist()
+        if len(ends) != len(part):  # a chunk made the mark itself
+            out += [np.array(tok.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in part]
+            continue
+        data, at = ids.tobytes(), 0
+        for end in ends:
+            out.append(data[4 * at : 4 * end])
+            at = end + 1
     return out
 
 
