@@ -53,14 +53,14 @@ def registry_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def json_rows(spark: SparkSession, folder: str, schema: str | T.StructType, pattern: str = "*.json") -> DataFrame:
-    """Objects of JSON files, arrays spread; unreadable files are left out. Adds file and pos (order in all files)."""
+    """Objects of JSON files, arrays spread; unreadable files are left out. Adds file and pos (order in the file)."""
     kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    whole = T.StructType([*kind.fields, T.StructField("_corrupt", T.StringType())])
     if not exists(spark, f"{folder.rstrip('/')}/{pattern}"):
         return spark.createDataFrame([], T.StructType([*kind.fields, T.StructField("file", T.StringType()), T.StructField("pos", T.LongType())]))
-    rows = spark.read.schema(whole).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("pathGlobFilter", pattern).json(folder)
-    rows = rows.withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1)).withColumn("pos", F.monotonically_increasing_id())
-    return rows.filter("_corrupt IS NULL").drop("_corrupt")
+    rows = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    # An object reads as an array of one; what cannot be parsed is null and leaves no row.
+    rows = rows.select("file", F.posexplode(F.from_json("value", T.ArrayType(kind))).alias("pos", "_r")).filter("_r IS NOT NULL")
+    return rows.select("_r.*", "file", F.col("pos").cast("long").alias("pos"))
 
 
 def first_records(rows: DataFrame, key: str) -> DataFrame:
