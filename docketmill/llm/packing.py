@@ -36,6 +36,8 @@ RESIDUAL = 4000
 #: Rounds in which a configuration takes only a share of what is left, for even progress.
 ROUNDS = 1200
 SHARE, RATE = 0.25, 0.1
+#: Exponent of a length's price: a little over 1, so that long pieces, which are hard to place, go first.
+BIAS = 1.05
 #: Share of the tokens whose shortest pieces wait for best-fit, where they close gaps.
 RESERVE = 0.03
 
@@ -80,7 +82,7 @@ def plan_configurations(counts: np.ndarray, capacity: int = CAPACITY, residual:
         turn += 1
         done = 1 - (size * left).sum() / mass
         behind = np.where(first > 0, left / np.maximum(first, 1), 0) - (1 - done)
-        value = np.where(left > 0, size / capacity * np.exp(RATE * np.clip(behind, -1, 1)), -np.inf)
+        value = np.where(left > 0, (size / capacity) ** BIAS * np.exp(RATE * np.clip(behind, -1, 1)), -np.inf)
         taken: Counter[int] = Counter()
         room = capacity
         while room > 0:
@@ -91,7 +93,7 @@ def plan_configurations(counts: np.ndarray, capacity: int = CAPACITY, residual:
                 break
             taken.update(more)
             room = capacity - sum(x * a for x, a in taken.items())
-            value = np.where(left[: capacity + 1] > np.array([taken[x] for x in range(capacity + 1)]), size / capacity, -np.inf)
+            value = np.where(left[: capacity + 1] > np.array([taken[x] for x in range(capacity + 1)]), (size / capacity) ** BIAS, -np.inf)
         most = min(int(left[s]) // a for s, a in taken.items())
         times = max(1, int(most * SHARE)) if turn <= rounds else most
         for s, a in taken.items():

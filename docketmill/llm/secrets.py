@@ -31,8 +31,9 @@ SENSITIVE = re.compile(r"key|auth|bearer|credential|private|secret|token|passw|s
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
 #: Characters before a candidate in which a sensitive word must stand; those that prime its compression.
 NEAR, AROUND = 40, 1024
-#: Compressed bytes a character from which a candidate is novel: base64 of random bytes carries 0.75.
-NOVEL = 0.6
+#: Compressed bytes a character from which a candidate is novel: random strings add one and more, with
+#: what a new block of literals costs, and six bits a character in a longer text; names add less.
+NOVEL = 0.75
 # Common identifiers of code and configuration.
 IDENTIFIERS = (
     "access account action active address admin alias allow api app application argument array async attribute auth author "
