@@ -34,10 +34,10 @@ CAPACITY = 2048
 #: Pieces that may be left to best-fit; of small inputs an eighth at most.
 RESIDUAL = 4000
 #: Rounds in which a configuration takes only a share of what is left, for even progress.
-ROUNDS = 1200
+ROUNDS = 2500
 SHARE, RATE = 0.25, 0.1
 #: Exponent of a length's price: a little over 1, so that long pieces, which are hard to place, go first.
-BIAS = 1.05
+BIAS = 1.02
 #: Share of the tokens whose shortest pieces wait for best-fit, where they close gaps.
 RESERVE = 0.03
 
