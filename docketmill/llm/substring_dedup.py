@@ -4,8 +4,8 @@ Method: of every window of `window` words the tree is entered at the window's an
 prefix hashes of window/2 words (a choice that depends on the window's words alone, so equal windows have
 equal anchors). Prefixes in one document only have no node with leaves of two documents and are dropped;
 the others split the suffixes into groups. A prefix with over GROUP suffixes is lengthened to the whole
-window, where all suffixes are equal and a partially aggregated minimum is all that is asked of them; the
-other groups fit a task, which sorts their suffixes: runs that agree to depth `window` are the deep
+window, where all suffixes are equal and their smallest document, found over salted parts, is all that is
+asked of them; the other groups fit a task, which sorts their suffixes: runs that agree to depth `window` are the deep
 internal nodes, and every suffix in one from a document larger than its smallest is a repeat.
 
 Words are compared by 64-bit hashes: a false repeat needs equal hashes of window and prefix.
@@ -30,6 +30,8 @@ from .common import durable, sorted_groups
 WINDOW = 50
 #: Suffixes that a prefix may have before it is lengthened.
 GROUP = 4096
+#: Parts that the rows of a lengthened prefix are dealt to.
+SALTS = 64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 2**64)
 #: Distinct words whose hashes a worker keeps.
@@ -143,11 +145,7 @@ def _ranges(doc: np.ndarray, row: np.ndarray, start: np.ndarray) -> pa.RecordBat
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The repeats below each prefix: windows that equal one of a smaller document."""
     for part in sorted_groups(batches, ["prefix"]):
-        data = part.column("whole").combine_chunks()
-        sizes = np.array([len(x) // 8 for x in data.to_pylist()], np.int64)
-        whole = np.frombuffer(b"".join(data.to_pylist()), "<u8")
-        at = np.repeat(np.arange(part.num_rows), sizes)
-        nth = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at, nth, whole = _expanded(part)
         prefix, doc, row, first = (part.column(k).to_numpy()[at] for k in ("prefix", "doc_id", "row", "first"))
         order = np.lexsort((doc, whole, prefix))
         p, w, d = prefix[order], whole[order], doc[order]
@@ -160,16 +158,48 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _ranges(doc[order], row[order], start[order])
 
 
-def _one_window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each window of the lengthened prefixes."""
+def _expanded(part: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the rows: row numbers, places in the row, hashes."""
+    data = part.column("whole").to_pylist()
+    sizes = np.array([len(x) // 8 for x in data], np.int64)
+    at = np.repeat(np.arange(len(data)), sizes)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes), np.frombuffer(b"".join(data), "<u8")
+
+
+def _window_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a prefix in this task the smallest and largest document of each window."""
+    for part in sorted_groups(batches, ["prefix", "salt"]):
+        at, _, whole = _expanded(part)
+        prefix, doc = part.column("prefix").to_numpy()[at], part.column("doc_id").to_numpy()[at]
+        order = np.lexsort((doc, whole, prefix))
+        p, w, d = prefix[order], whole[order], doc[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (p[1:] != p[:-1]) | (w[1:] != w[:-1])
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(order)) - 1 if len(begin) else begin
+        yield pa.RecordBatch.from_pydict({"prefix": pa.array(p[begin], pa.int64()), "whole": pa.array(w[begin].view(np.int64)), "a": pa.array(d[begin], pa.int64()), "b": pa.array(d[end], pa.int64())})
+
+
+def _against_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeats among the rows of lengthened prefixes, which carry the smallest documents of their windows."""
     for batch in batches:
-        data = batch.column("whole").to_pylist()
-        sizes = np.array([len(x) // 8 for x in data], np.int64)
-        take = np.repeat(np.arange(batch.num_rows), sizes)
-        nth = np.arange(len(take)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        cols = {k: batch.column(k).take(pa.array(take)) for k in ("prefix", "doc_id", "row")}
-        start = batch.column("first").to_numpy()[take] + nth
-        yield pa.RecordBatch.from_pydict({**cols, "s": pa.array(start, pa.int32()), "whole": pa.array(np.frombuffer(b"".join(data), "<u8").view(np.int64))})
+        spots = batch.column("least")
+        bounds, inner = spots.offsets.to_numpy(), spots.values
+        keys, least = inner.field("whole").to_numpy().view(np.uint64), inner.field("a").to_numpy()
+        doc, row, first = (batch.column(k).to_numpy() for k in ("doc_id", "row", "first"))
+        docs, rows, starts = [], [], []
+        for i, data in enumerate(batch.column("whole").to_pylist()):
+            mine = np.frombuffer(data, "<u8")
+            known, low = keys[bounds[i] : bounds[i + 1]], least[bounds[i] : bounds[i + 1]]
+            place = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            hit = np.flatnonzero((known[place] == mine) & (low[place] < doc[i]))
+            docs.append(np.full(len(hit), doc[i]))
+            rows.append(np.full(len(hit), row[i]))
+            starts.append(first[i] + hit)
+        none = np.zeros(0, np.int64)
+        doc, row, start = (np.concatenate(x or [none]) for x in (docs, rows, starts))
+        order = np.lexsort((start, row, doc))
+        yield _ranges(doc[order], row[order], start[order])
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
@@ -182,9 +212,13 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -
     suffixes = _suffixes(held, window)
     suffixes = durable(suffixes)
     few = suffixes.filter("NOT hot").repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees, "doc_id long, row int, s int, e int")
-    hot = suffixes.filter("hot").mapInArrow(_one_window, "prefix long, doc_id long, row int, s int, whole long")
-    least = hot.groupBy("prefix", "whole").agg(F.min("doc_id").alias("least"))
-    many = hot.join(least, ["prefix", "whole"]).filter("doc_id > least").select("doc_id", "row", "s", F.col("s").alias("e"))
+    hot = suffixes.filter("hot")
+    salted = hot.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS)).cast("int")).repartition("prefix", "salt").sortWithinPartitions("prefix", "salt")
+    ends = salted.mapInArrow(_window_ends, "prefix long, whole long, a long, b long").groupBy("prefix", "whole").agg(F.min("a").alias("a"), F.max("b").alias("b")).filter("a < b")
+    # Sorted as unsigned numbers, as the tasks look them up: the sign bit is flipped for the order.
+    entry = F.struct(F.col("whole").bitwiseXOR(F.lit(-(2**63))).alias("o"), "whole", "a")
+    least = ends.groupBy("prefix").agg(F.array_sort(F.collect_list(entry)).alias("least"))
+    many = hot.join(least, "prefix").mapInArrow(_against_least, "doc_id long, row int, s int, e int")
     return few.unionByName(many)
 
 
