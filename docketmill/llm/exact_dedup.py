@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, free_name
 
 #: Counters of the Misra-Gries summary, and so the most digests that are ever broadcast.
 HEAVY = 256
@@ -105,7 +105,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = HEAVY, most: int = 1_000_000) -> DataFrame:
     """The rows of docs that stay. The rows that go are broadcast where a count finds at most `most`."""
-    numbered = durable(docs.withColumn("_row", F.monotonically_increasing_id()))
-    rows = durable(numbered.select(*_measured(numbered, id_col, text_col), "_row"))
-    gone = durable(decide(rows, k).filter(F.col("_row") != F.col("_best.r")).select("_row"))
-    return numbered.join(F.broadcast(gone) if gone.count() <= most else gone, "_row", "left_anti").select(docs.columns)
+    row = free_name(docs, "_row")
+    numbered = durable(docs.withColumn(row, F.monotonically_increasing_id()))
+    rows = durable(numbered.select(*_measured(numbered, id_col, text_col), F.col(row).alias("_row")))
+    gone = durable(decide(rows, k).filter(F.col("_row") != F.col("_best.r")).select(F.col("_row").alias(row)))
+    return numbered.join(F.broadcast(gone) if gone.count() <= most else gone, row, "left_anti").select(docs.columns)

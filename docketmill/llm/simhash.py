@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, sorted_groups
+from .common import durable, free_name, sorted_groups
 from .components import components
 
 #: Fingerprints that one task compares with one another.
@@ -284,6 +284,6 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     found = durable(similar_documents(docs, words, similarity, FAMILIES, id_col, text_col))
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "mark")).alias("k"))
     gone = durable(found.join(first, "component").filter("mark <> k.mark").select("mark"))
-    key = "_near_mark"
+    key = free_name(docs, "_near_mark")
     marked = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
     return _semi(marked, gone.withColumnRenamed("mark", key), [key], "left_anti").select(docs.columns)
