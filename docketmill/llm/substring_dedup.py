@@ -5,8 +5,10 @@ prefix hashes of window/2 words (a choice that depends on the window's words alo
 equal anchors). Prefixes in one document only have no node with leaves of two documents and are dropped;
 the others split the suffixes into groups. A prefix with over GROUP suffixes is lengthened to the whole
 window, where all suffixes are equal and their smallest document, found over salted parts, is all that is
-asked of them; the other groups fit a task, which sorts their suffixes: runs that agree to depth `window` are the deep
-internal nodes, and every suffix in one from a document larger than its smallest is a repeat.
+asked of them; its shared windows go along with its rows, or, where there are over SPREAD of them, each row
+becomes a row for each of its windows and meets them one by one. The other groups fit a task, which sorts their
+suffixes: runs that agree to depth `window` are the deep internal nodes, and every suffix in one from a document
+larger than its smallest is a repeat.
 
 Words are compared by 64-bit hashes: a false repeat needs equal hashes of window and prefix.
 
@@ -32,6 +34,8 @@ WINDOW = 50
 GROUP = 4096
 #: Parts that the rows of a lengthened prefix are dealt to.
 SALTS = 64
+#: Shared windows of a lengthened prefix that are sent along with its rows.
+SPREAD = 512
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 2**64)
 #: Distinct words whose hashes a worker keeps.
@@ -202,7 +206,15 @@ def _against_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield _ranges(doc[order], row[order], start[order])
 
 
-def repeated_ranges(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+def _each_window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each window of the rows."""
+    for batch in batches:
+        at, nth, whole = _expanded(batch)
+        prefix, doc, row, first = (batch.column(k).to_numpy()[at] for k in ("prefix", "doc_id", "row", "first"))
+        yield pa.RecordBatch.from_pydict({"prefix": pa.array(prefix, pa.int64()), "whole": pa.array(whole.view(np.int64)), "doc_id": pa.array(doc, pa.int64()), "row": pa.array(row, pa.int32()), "s": pa.array(first + nth, pa.int32())})
+
+
+def repeated_ranges(docs: DataFrame, window: int = WINDOW, group: int = GROUP, spread: int = SPREAD) -> DataFrame:
     """doc_id, row, s, e: starts s to e of windows that also start in a smaller document. docs: doc_id, row, text."""
     anchors = durable(_anchors(docs, window))
     shared = anchors.groupBy("prefix").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")).filter("a < b")
@@ -214,12 +226,17 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, group: int = GROUP) -
     few = suffixes.filter("NOT hot").repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_subtrees, "doc_id long, row int, s int, e int")
     hot = suffixes.filter("hot")
     salted = hot.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row"), F.lit(SALTS)).cast("int")).repartition("prefix", "salt").sortWithinPartitions("prefix", "salt")
-    ends = salted.mapInArrow(_window_ends, "prefix long, whole long, a long, b long").groupBy("prefix", "whole").agg(F.min("a").alias("a"), F.max("b").alias("b")).filter("a < b")
+    ends = salted.mapInArrow(_window_ends, "prefix long, whole long, a long, b long").groupBy("prefix", "whole").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    ends = durable(ends.filter("a < b").select("prefix", "whole", "a"))
+    wide = durable(ends.groupBy("prefix").agg(F.count("*").alias("n")).filter(F.col("n") > spread).select("prefix"))
     # Sorted as unsigned numbers, as the tasks look them up: the sign bit is flipped for the order.
     entry = F.struct(F.col("whole").bitwiseXOR(F.lit(-(2**63))).alias("o"), "whole", "a")
-    least = ends.groupBy("prefix").agg(F.array_sort(F.collect_list(entry)).alias("least"))
-    many = hot.join(least, "prefix").mapInArrow(_against_least, "doc_id long, row int, s int, e int")
-    return few.unionByName(many)
+    least = ends.join(wide, "prefix", "left_anti").groupBy("prefix").agg(F.array_sort(F.collect_list(entry)).alias("least"))
+    found = few.unionByName(hot.join(least, "prefix").mapInArrow(_against_least, "doc_id long, row int, s int, e int"))
+    if wide.isEmpty():
+        return found
+    single = hot.join(wide, "prefix", "left_semi").mapInArrow(_each_window, "prefix long, whole long, doc_id long, row int, s int")
+    return found.unionByName(single.join(ends, ["prefix", "whole"]).filter("a < doc_id").select("doc_id", "row", "s", F.col("s").alias("e")))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:

@@ -161,10 +161,10 @@ def test_substring_dedup(docs, plain, empty):
 def test_lengthened_prefixes_give_the_same(spark, docs):
     rows = docs.select("doc_id", F.hash("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
-    def starts(group):
-        return sorted({(r.doc_id, r.row, s) for r in substring_dedup.repeated_ranges(rows, 50, group).collect() for s in range(r.s, r.e + 1)})
+    def starts(group, spread=substring_dedup.SPREAD):
+        return sorted({(r.doc_id, r.row, s) for r in substring_dedup.repeated_ranges(rows, 50, group, spread).collect() for s in range(r.s, r.e + 1)})
 
-    assert starts(1) == starts(10_000) != []
+    assert starts(1) == starts(1, 0) == starts(1, 20) == starts(10_000) != []
 
 
 def test_chunk_tables_equal_the_libraries(plain):
