@@ -17,6 +17,7 @@ table gives an empty result; extra columns are left alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -143,9 +144,9 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     return rows.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: For similar_documents(): fingerprints of the set of words, how far apart two may be, and how far the
-#: fingerprints of the shingles may be.
-FAMILIES, WORD_RADIUS, SHINGLE_RADIUS = 3, 4, 20
+#: For similar_documents(): documents of the frequency sample (and its least share of the table), hits in it
+#: from which a shingle is frequent, and how many frequent shingles are kept.
+SAMPLE, SAMPLE_SHARE, FREQUENT, MOST_FREQUENT = 16_384, 0.125, 3, 200_000
 #: Documents that one task compares with one another by their shingles.
 CLUSTER = 512
 
@@ -157,15 +158,6 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def _majority(hashes: np.ndarray) -> int:
-    if not len(hashes):
-        return 0
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 65_536):
-        ones += np.unpackbits(np.ascontiguousarray(hashes[at : at + 65_536]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
-
-
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -198,30 +190,111 @@ def _semi(df: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1
     return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)
 
 
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, families: int = FAMILIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that a sample of the rows (mark, text) finds frequent, and their hits."""
+    share = min(1.0, max(SAMPLE_SHARE, sample / max(1, rows.count())))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, words)[0] for t in batch.column(0).to_pylist()]
+            keys, hits = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "hits": pa.array(hits.astype(np.int64))})
+
+    counted = rows.filter(F.pmod(F.xxhash64("mark"), F.lit(1024)) < F.lit(share * 1024)).select("text").mapInArrow(count, "key long, hits long")
+    top = counted.groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT).orderBy(F.desc("hits"), "key").limit(MOST_FREQUENT).toArrow()
+    keys, hits = top.column("key").to_numpy().view(np.uint64), top.column("hits").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], hits[order]
+
+
+def rare_prefix(shingles: np.ndarray, similarity: float, keys: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles by (hits in the sample, hash), so many that sets of the similarity share one; which are frequent.
+
+    Sets of the similarity have at least that share of the larger one in common, so neither can have all
+    common shingles behind its prefix, in whatever order all sets are put."""
+    n = len(shingles)
+    first = n - max(1, math.ceil(similarity * n - 1e-9)) + 1
+    at = np.searchsorted(keys, shingles)
+    seen = np.zeros(n, np.int64)
+    if len(keys):
+        at[at == len(keys)] = 0
+        seen = np.where(keys[at] == shingles, hits[at], 0)
+    order = np.argsort(seen, kind="stable")[:first]
+    return shingles[order], seen[order] > 0
+
+
+def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int = SAMPLE) -> DataFrame:
+    """Links (u, v) between marks that lead from each document to all similar ones, and to some others.
+
+    Documents with a common shingle in their prefixes are chained by their number of shingles while it
+    grows by no more than the similarity allows: linear in the cell, and no similar pair is left apart.
+    Frequent shingles may have any number of documents: theirs hang on the least mark of each length
+    class, which is partially aggregated, and classes hang together with the next one."""
+    keys, hits = frequent_shingles(rows, words, sample)
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((keys, hits))
+    width = max(0.01, -math.log(similarity))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            sizes = np.array([len(k) for k, _, _, _ in held], np.int64)
+            return pa.RecordBatch.from_pydict({
+                "key": pa.array(np.concatenate([k for k, _, _, _ in held]).view(np.int64)),
+                "hot": pa.array(np.concatenate([h for _, h, _, _ in held])),
+                "n": pa.array(np.repeat(np.array([n for _, _, n, _ in held], np.int32), sizes)),
+                "mark": pa.array(np.repeat(np.array([m for _, _, _, m in held], np.int64), sizes)),
+            })
+
+        held, many = [], 0
+        for batch in batches:
+            for mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                shingles = shingle_set(t, words)[0]
+                if len(shingles):
+                    first, hot = rare_prefix(shingles, similarity, *shared.value)
+                else:  # empty sets are alike
+                    first, hot = np.zeros(1, np.uint64), np.ones(1, bool)
+                held.append((first, hot, len(shingles), mark))
+                many += len(first)
+                if many >= 100_000:
+                    yield out()
+                    held, many = [], 0
+        if held:
+            yield out()
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, n, mark = (batch.column(k).to_numpy() for k in ("key", "n", "mark"))
+            if last:
+                key, n, mark = (np.concatenate([[x], y]) for x, y in zip(last, (key, n, mark)))
+            last = key[-1], n[-1], mark[-1]
+            near = (key[1:] == key[:-1]) & (n[:-1] >= similarity * n[1:] - 1e-9) & (mark[1:] != mark[:-1])
+            yield pa.RecordBatch.from_pydict({"u": pa.array(mark[1:][near], pa.int64()), "v": pa.array(mark[:-1][near], pa.int64())})
+
+    cells = durable(rows.select("mark", "text").mapInArrow(prefixes, "key long, hot boolean, n int, mark long"))
+    rare = cells.filter("not hot").select("key", "n", "mark").repartition("key").sortWithinPartitions("key", "n")
+    # The logarithm's floor: lengths within the similarity are in the same class or in neighbouring ones.
+    hot = cells.filter("hot").select("key", F.floor(F.log(F.greatest("n", F.lit(1))) / width).cast("int").alias("class"), "mark")
+    least = durable(hot.groupBy("key", "class").agg(F.min("mark").alias("least")))
+    following = least.select("key", (F.col("class") - 1).alias("class"), F.col("least").alias("v"))
+    few = F.broadcast(least) if least.count() <= 1_000_000 else least
+    links = rare.mapInArrow(chain, "u long, v long")
+    links = links.unionByName(hot.join(few, ["key", "class"]).filter("mark <> least").select(F.col("mark").alias("u"), F.col("least").alias("v")))
+    return links.unionByName(least.join(following, ["key", "class"]).select(F.col("least").alias("u"), "v"))
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, mark, component) of each distinct (id, text) that is like another: Jaccard of word shingles.
 
-    Fingerprints of the sets of words, a few families of them, find loose clusters by covering tables; the
-    shingles' own fingerprint keeps chance meetings out of them. Inside each loose cluster the shingle
-    sets are compared exactly. mark is a hash of the text; component is the mark of its first member.
+    A rare-first prefix filter on the shingle sets finds loose clusters that hold every similar pair; the
+    sample only sets the order and so the clusters' size. Inside each loose cluster the shingle sets are
+    compared exactly. mark is a hash of the text; component is the mark of its first member.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text).alias("mark"))
-
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for t in batch.column(1).to_pylist():
-                shingles, single = shingle_set(t, words)
-                out.append((_majority(_mixed(shingles, 101)), *(_majority(_mixed(single, 201 + f)) for f in range(families))))
-            cols = list(zip(*out)) or [()] * (families + 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", "mark", "s", *(f"f{k}" for k in range(families))])
-
-    signed = durable(rows.mapInArrow(sign, "doc_id long, mark long, s long, " + ", ".join(f"f{k} long" for k in range(families))))
-    links = None
-    for k in range(families):
-        part = fingerprint_links(signed.select("mark", "s", F.col(f"f{k}").alias("fp")).dropDuplicates(["mark"]), WORD_RADIUS, name="mark", also="s", wide=SHINGLE_RADIUS)
-        links = part if links is None else links.unionByName(part)
+    links = candidate_links(rows, words, similarity, sample)
     loose = durable(components(links))
     sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
     loose = durable(loose.join(sizes, "root").select(F.col("node").alias("mark"), "root", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
@@ -255,7 +328,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
             yield pa.RecordBatch.from_pydict({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
     same = components(met.mapInArrow(compare, "u long, v long"))
-    return signed.select("doc_id", "mark").distinct().join(same.select(F.col("node").alias("mark"), F.col("root").alias("component")), "mark")
+    return rows.select("doc_id", "mark").distinct().join(same.select(F.col("node").alias("mark"), F.col("root").alias("component")), "mark")
 
 
 def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
@@ -281,7 +354,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.
     """The rows of docs without those of a similar document with a smaller id; one of each group stays.
 
     Rows that are equal in id and text are one document and stay or go together."""
-    found = durable(similar_documents(docs, words, similarity, FAMILIES, id_col, text_col))
+    found = durable(similar_documents(docs, words, similarity, SAMPLE, id_col, text_col))
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "mark")).alias("k"))
     gone = durable(found.join(first, "component").filter("mark <> k.mark").select("mark"))
     key = free_name(docs, "_near_mark")

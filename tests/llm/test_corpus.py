@@ -139,6 +139,40 @@ def test_similar_documents_go(spark, docs):
     assert sorted(r.doc_id for r in got.collect()) == [1, 3, 4, 5, 6]
 
 
+def appended_blocks(seed, pairs=60):
+    """Texts in pairs, the second with a block of new words behind it; a passage that many share."""
+    rng = random.Random(seed)
+    word = lambda: f"v{rng.randint(0, 10**6)}"
+    common = " ".join(word() for _ in range(30))
+    texts = ["", " ", "one", "one", "two words", common, common + " end"]
+    for k in range(pairs):
+        n = rng.choice([30, 100, 300])
+        one = " ".join(word() for _ in range(n))
+        block = " ".join(word() for _ in range(round(n * rng.uniform(0.02, 0.3))))
+        tail = " " + common if k % 3 == 0 else ""
+        texts += [one + tail, one + " " + block + tail if k % 2 else block + " " + one + tail]
+    return texts
+
+
+def test_similar_documents_equal_brute_force(spark):
+    texts = appended_blocks(12)
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[p : p + 5]) for p in range(max(1, len(w) - 4))} if w else set())
+    like = [(i, j) for i in range(len(texts)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert len(like) > 40
+    want = roots(len(texts), like)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    for sample in (simhash.SAMPLE, 0):
+        got = simhash.similar_documents(df, sample=sample).collect()
+        first = {}
+        for r in got:
+            first[r.component] = min(r.doc_id, first.get(r.component, r.doc_id))
+        assert {r.doc_id: first[r.component] for r in got} == {i: want[i] for pair in like for i in pair}
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect()) == sorted(set(want))
+
+
 def test_substring_dedup(docs, plain, empty):
     words = [WORD.findall(t) for _, t in plain]
     first = {}
