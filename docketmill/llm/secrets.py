@@ -3,8 +3,10 @@
 Method: a candidate is a long run of token characters whose surroundings name something sensitive. Its
 marginal size is what it adds to the compressed size of its surroundings, with zstandard primed by a
 dictionary of common identifiers: text that resembles identifiers or the code around it adds little, a
-random string adds nearly its own length. Candidates that add at least NOVEL bytes a character are
-reported as `novel`; spans of the fixed patterns are always reported.
+random string adds nearly its own length. Passages of the candidate that stand in its surroundings or
+earlier in itself are left out first, or each copy would hide the others. Candidates that add at least
+NOVEL bytes a character are reported as `novel`, with every other copy of them in the text; spans of the
+fixed patterns are always reported.
 
 Cases: null text counts as empty and has no spans; repeated rows give repeated rows; an empty table gives
 an empty result; extra columns are left alone. Positions are code points, ends exclusive.
@@ -31,6 +33,8 @@ SENSITIVE = re.compile(r"key|auth|bearer|credential|private|secret|token|passw|s
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
 #: Characters before a candidate in which a sensitive word must stand; those that prime its compression.
 NEAR, AROUND = 40, 1024
+#: Characters of the shortest passage that counts as a copy.
+COPY = 16
 #: Compressed bytes a character from which a candidate is novel: random strings add one and more, with
 #: what a new block of literals costs, and six bits a character in a longer text; names add less.
 NOVEL = 0.75
@@ -85,6 +89,61 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _grams(word: str) -> set[str]:
+    return {word[i : i + COPY] for i in range(len(word) - COPY + 1)}
+
+
+def surroundings(text: str, start: int, end: int) -> str:
+    """AROUND characters before and after the candidate, without passages that also stand in it."""
+    grams, out = _grams(text[start:end]), []
+    for low, high in ((max(0, start - AROUND), start), (end, min(len(text), end + AROUND))):
+        # Copies that the bounds cut are seen whole; none goes into the candidate itself.
+        first, last = (max(0, low - (end - start)), high) if high == start else (low, min(len(text), high + end - start))
+        keep = bytearray(b"\1") * (last - first)
+        for i in range(first, last - COPY + 1):
+            if text[i : i + COPY] in grams:
+                keep[i - first : i - first + COPY] = bytes(COPY)
+        out += [text[i] for i in range(low, high) if keep[i - first]]
+    return "".join(out)
+
+
+def without_repeats(word: str) -> str:
+    """The word without passages that stand earlier in it, where enough is left to measure."""
+    seen: set[str] = set()
+    keep = bytearray(b"\1") * len(word)
+    for i in range(len(word) - COPY + 1):
+        gram = word[i : i + COPY]
+        if gram in seen:
+            keep[i : i + COPY] = bytes(COPY)
+        seen.add(gram)
+    fresh = "".join(c for c, k in zip(word, keep) if k)
+    return fresh if len(fresh) >= 20 else word
+
+
+def outside(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The parts of a range that no span, by start, covers."""
+    out = []
+    for s, _, e in spans:
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                out.append((start, s))
+            start = max(start, e)
+    return out + [(start, end)] if start < end else out
+
+
+def with_copies(text: str, base: list[tuple[int, int, int]], found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The found spans and all other copies of their strings, as far as no span covers them."""
+    for word in sorted({text[s:e] for s, _, e in found}, key=lambda w: (-len(w), w)):
+        taken = sorted(base + found)
+        at = text.find(word)
+        while at >= 0:
+            found = found + [(s, 3, e) for s, e in outside(at, at + len(word), taken)]
+            at = text.find(word, at + len(word))
+    return sorted(found)
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Sensitive, incompressible strings that no base span touches."""
     out: list[tuple[int, int, int]] = []
@@ -97,9 +156,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         word = m[0]
         if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
             continue
-        if SENSITIVE.search(text, max(0, start - NEAR), start) and novelty(word, text[max(0, start - AROUND) : start] + text[end : end + AROUND]) >= NOVEL:
+        if SENSITIVE.search(text, max(0, start - NEAR), start) and novelty(without_repeats(word), surroundings(text, start, end)) >= NOVEL:
             out.append((start, 3, end))
-    return out
+    return with_copies(text, base, out) if out else out
 
 
 def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -275,6 +275,19 @@ def test_novelty_tells_words_from_noise():
     assert secrets.novelty("kJ8s0dPq2Zx9Lw3Vb7Nc5Tm1", around) > secrets.NOVEL > secrets.novelty("configuration.parameter.default", around)
 
 
+def test_copies_do_not_hide_a_secret():
+    rng = random.Random(14)
+    for k in range(60):
+        secret = "".join(rng.choice("abcdefghjkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rng.choice([20, 40, 120]))) + "7q"
+        line = f'auth header "{secret}" end of line\n'
+        text = ["start " + line * 3, line + f'then send("{secret}") again\n' + line, f'auth header "{secret}.{secret}" end', line + "some words " * 300 + f'call("{secret}")'][k % 4]
+        spans = secrets.all_spans(text)[1]
+        assert secret not in secrets.redact(text, spans) and all(x[1] == 3 for x in spans)
+        assert len(spans) == [3, 3, 1, 2][k % 4]
+    name = 'auth header "configuration.parameter.default.value2" end\n'
+    assert secrets.all_spans(name * 3)[1] == []
+
+
 def test_packing(spark, docs, plain, empty):
     from tokenizers import Tokenizer
 
