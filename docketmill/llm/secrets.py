@@ -1,12 +1,13 @@
 """Secret scans: fixed patterns, and novelty under dictionary-primed zstandard.
 
-Method: a candidate is a long run of token characters whose surroundings name something sensitive. Its
+Method: a candidate is a long run of token characters, or a long enough part of one outside the spans of
+the fixed patterns, before which something sensitive is named. Its
 marginal size is what it adds to the compressed size of its surroundings, with zstandard primed by a
 dictionary of common identifiers: text that resembles identifiers or the code around it adds little, a
 random string adds nearly its own length. Passages of the candidate that stand in its surroundings or
 earlier in itself are left out first, or each copy would hide the others. Candidates that add at least
-NOVEL bytes a character are reported as `novel`, with every other copy of them in the text; spans of the
-fixed patterns are always reported.
+NOVEL bytes a character (LONG_NOVEL from LONG characters on) are reported as `novel`, with every other
+copy of them in the text; spans of the fixed patterns are always reported.
 
 Cases: null text counts as empty and has no spans; repeated rows give repeated rows; an empty table gives
 an empty result; extra columns are left alone. Positions are code points, ends exclusive.
@@ -30,14 +31,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAD = ("passw", "secret", "token", "api")
 #: Words that make a surrounding sensitive.
 SENSITIVE = re.compile(r"key|auth|bearer|credential|private|secret|token|passw|session|cookie|signature|salt|cert|access", re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+#: Fewest characters of a candidate.
+LEAST = 20
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 #: Characters before a candidate in which a sensitive word must stand; those that prime its compression.
 NEAR, AROUND = 40, 1024
 #: Characters of the shortest passage that counts as a copy.
 COPY = 16
-#: Compressed bytes a character from which a candidate is novel: random strings add one and more, with
-#: what a new block of literals costs, and six bits a character in a longer text; names add less.
-NOVEL = 0.75
+#: Compressed bytes a character from which a candidate is novel: random strings add about one, and long ones
+#: of few letters down to 0.47; names are short and mostly add less. The README has measured recall and false reports.
+NOVEL, LONG, LONG_NOVEL = 0.75, 64, 0.45
 # Common identifiers of code and configuration.
 IDENTIFIERS = (
     "access account action active address admin alias allow api app application argument array async attribute auth author "
@@ -117,7 +120,7 @@ def without_repeats(word: str) -> str:
             keep[i : i + COPY] = bytes(COPY)
         seen.add(gram)
     fresh = "".join(c for c, k in zip(word, keep) if k)
-    return fresh if len(fresh) >= 20 else word
+    return fresh if len(fresh) >= LEAST else word
 
 
 def outside(start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
@@ -145,19 +148,17 @@ def with_copies(text: str, base: list[tuple[int, int, int]], found: list[tuple[i
 
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Sensitive, incompressible strings that no base span touches."""
+    """Sensitive, incompressible strings outside the base spans."""
     out: list[tuple[int, int, int]] = []
     if not SENSITIVE.search(text):
         return out
     for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        if any(s < end and start < e for s, _, e in base):
-            continue
-        word = m[0]
-        if not (any(c.isdigit() for c in word) and any(c.isalpha() for c in word)):
-            continue
-        if SENSITIVE.search(text, max(0, start - NEAR), start) and novelty(without_repeats(word), surroundings(text, start, end)) >= NOVEL:
-            out.append((start, 3, end))
+        for start, end in outside(*m.span(), base):
+            if end - start < LEAST or not SENSITIVE.search(text, max(0, m.start() - NEAR), start):
+                continue
+            word = without_repeats(text[start:end])
+            if novelty(word, surroundings(text, start, end)) >= (LONG_NOVEL if len(word) >= LONG else NOVEL):
+                out.append((start, 3, end))
     return with_copies(text, base, out) if out else out
 
 

@@ -288,6 +288,20 @@ def test_copies_do_not_hide_a_secret():
     assert secrets.all_spans(name * 3)[1] == []
 
 
+def test_letters_and_parts_beside_base_spans_are_measured():
+    rng = random.Random(15)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789ABCDEF"):
+        found = 0
+        for size in [20, 40, 128, 256] * 10:
+            secret = "".join(rng.choice(alphabet) for _ in range(size))
+            text = f'auth header "{secret}" end'
+            found += secrets.redact(text, secrets.all_spans(text)[1]) == 'auth header "[REDACTED]" end'
+        assert found >= 38
+    text = 'auth header "' + "0123456789abcdef" * 2 + '.kJ8s0dPq2Zx9Lw3Vb7Nc5Tm1" end'
+    assert [k for _, k, _ in secrets.all_spans(text)[1]] == [2, 3]
+    assert secrets.redact(text, secrets.all_spans(text)[1]) == 'auth header "[REDACTED][REDACTED]" end'
+
+
 def test_packing(spark, docs, plain, empty):
     from tokenizers import Tokenizer
 
