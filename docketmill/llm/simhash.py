@@ -301,11 +301,13 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [shingle_set(t, words)[0].astype("<u8").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"mark": batch.column(0), "shingles": pa.array(data, pa.binary())})
+            data = [shingle_set(t, words)[0].astype("<u8").tobytes() for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], ["mark", "root", "nb", "shingles"])
 
-    known = _semi(rows, loose.select("mark"), ["mark"], "left_semi").select("mark", "text").mapInArrow(sets, "mark long, shingles binary").dropDuplicates(["mark"])
-    met = known.join(loose, "mark").withColumn("b", F.pmod(F.xxhash64("mark"), F.col("nb")).cast("int"))
+    # Sets are shuffled once only, by cluster; a repeated row links to itself, which counts for nothing.
+    few = F.broadcast(loose) if loose.count() <= 1_000_000 else loose
+    met = rows.select("mark", "text").join(few, "mark").select("mark", "root", "nb", "text").mapInArrow(sets, "mark long, root long, nb int, shingles binary")
+    met = met.withColumn("b", F.pmod(F.xxhash64("mark"), F.col("nb")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
     met = met.select("root", F.explode(parts).alias("p"), "mark", "shingles").select("root", "p.i", "p.j", "mark", "shingles")
     met = met.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "mark")
