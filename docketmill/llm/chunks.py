@@ -1,10 +1,11 @@
 """Tables of distinct chunks: encode every distinct piece of text once and join the ids back by position.
 
-A chunk is a stretch of text that no token can cross: a word with the white-space marker before it.
-Each worker keeps a table from chunk to encoded bytes; every Arrow batch first finds its chunks that
-the table lacks, encodes those in one go, and then joins the encodings of each text in the order of
-its chunks. The table is cut back when it holds `limit` chunks, so its memory is bounded whatever the
-number of distinct words is; the result does not depend on when that happens.
+A chunk is a stretch of text that no token can cross: a word with the white-space marker before it. Every
+Arrow batch is cut into chunks and dictionary-encoded column-wise; only its distinct chunks are looked up
+in the worker's table, those that it lacks are encoded in one go, and a take and a binary join put the
+encodings of each text together in the order of its chunks. The table is cut back when it holds `limit`
+chunks, and chunks of over LONGEST characters are never kept, so its memory is bounded whatever the number
+of distinct words is; the result does not depend on when that happens.
 
 A table per worker, not one shuffled table: almost every row of a corpus-wide join by chunk would be an
 occurrence of a word, which is the whole corpus again, many times larger than what it saves.
@@ -12,53 +13,70 @@ occurrence of a word, which is the whole corpus again, many times larger than wh
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable
 from functools import lru_cache
-from itertools import filterfalse, islice
+from itertools import islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks that a worker holds at most; at the limit the first third stays, which has the frequent ones.
 LIMIT = 1_000_000
-#: Chunks that are given to a tokenizer as one text.
-PACK = 40
+#: Characters of the longest chunk that is kept.
+LONGEST = 128
+#: Chunks that are given to a tokenizer as one text, and pretokens as one sequence.
+PACK, SEQUENCE = 40, 1000
+
+# Letters, and signs other than the apostrophe and "<", of which every pattern here makes whole runs.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+SIGNS = r"!-&(-/:;=-@\[-`{-~"
+#: Chunks of these characters alone are cut here; all others by the library.
+SIMPLE = re.compile(f"\n?[{LETTERS}0-9{SIGNS}]+")
 
 
 class Chunked:
     """The chunk table of one encoder.
 
-    split(text) gives the chunks of a text, encode(chunks) their values. A value of None marks a chunk
-    that cannot stand alone; whole(text) then encodes the text that holds it.
+    split(texts) gives the list column of the chunks of each text, encode(chunks) their values. A value of
+    None marks a chunk that cannot stand alone; whole(text) then encodes the text that holds it.
     """
 
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], Iterable], whole: Callable[[str], object], limit: int = LIMIT):
+    def __init__(self, split: Callable[[pa.Array], pa.ListArray], encode: Callable[[list[str]], Iterable], whole: Callable[[str], object], limit: int = LIMIT):
         self.split, self.encode, self.whole, self.limit = split, encode, whole, limit
         self.table: dict = {}
 
-    def learn(self, chunks: set[str]) -> None:
-        new = list(chunks)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.table.update(zip(part, self.encode(part)))
-
-    def values(self, texts: list[str]) -> Iterable[list | None]:
-        """For each text the values of its chunks in order, or None where it has to be encoded whole."""
+    def values(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, list]:
+        """Where each text's chunks begin, the number of every chunk, and the value of every number."""
+        cut = self.split(texts)
+        flat = cut.flatten().dictionary_encode()
         if len(self.table) > self.limit:
             self.table = dict(islice(self.table.items(), self.limit // 3))
-        for text in texts:
-            chunks = self.split(text)
-            missing = set(filterfalse(self.table.__contains__, chunks))
-            if missing:
-                self.learn(missing)
-            found = list(map(self.table.__getitem__, chunks))
-            yield None if None in found else found
-
-
-def words(text: str) -> list[str]:
+        chunks = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.table.get, chunks, repeat(self)))
+        missing = [i for i, value in enumerate(found) if value is self]
+        for at in range(0, len(missing), 20_000):
+            part = missing[at : at + 20_000]
+            for i, value in zip(part, self.encode([chunks[i] for i in part])):
+                found[i] = value
+                if len(chunks[i]) <= LONGEST:
+                    self.table[chunks[i]] = value
+        offsets = cut.offsets.to_numpy()
+        return offsets - offsets[0], flat.indices, found
+
+
+def joined(offsets: np.ndarray, numbers: pa.Array, values: list[bytes | None]) -> pa.Array:
+    """The values of each text's chunks as one binary; null where one of them is None."""
+    each = pa.array(values, pa.large_binary()).take(numbers)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), each), pa.scalar(b"", each.type))
+
+
+def words(texts: pa.Array) -> pa.ListArray:
     """Cut at single spaces and before line feeds; a chunk after a line feed begins with it, all but the
     first of the others had a space before them. Runs of spaces leave empty chunks."""
-    return text.replace("\n", " \n").split(" ")
+    return pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
 
 
 def stands_alone(chunk: str) -> bool:
@@ -77,6 +95,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the tokenizer's highest id."""
+    return max(_tokenizer(path).get_vocab(with_added_tokens=True).values(), default=0) + 1
+
+
 def _packed(tok, raws: list[str], glue: str, mark: int) -> list[bytes]:
     """Encode many chunks as texts of PACK chunks each, in which glue always becomes the lone id mark."""
     packs = [raws[at : at + PACK] for at in range(0, len(raws), PACK)]
@@ -94,12 +117,65 @@ def _packed(tok, raws: list[str], glue: str, mark: int) -> list[bytes]:
     return out
 
 
+class Pretokens:
+    """Ids of pretokens, kept by pretoken, from the library's model; only for pre-tokenizers that make byte-level runs.
+
+    Pretokens go to the model as one long pretokenized sequence; the lengths of the tokens tell where each ends.
+    """
+
+    def __init__(self, tok, pattern: str, expected: list[dict], limit: int = LIMIT // 2):
+        from tokenizers import Tokenizer
+
+        spec = json.loads(tok.to_str())
+        given = spec["pre_tokenizer"]
+        self.limit, self.table = limit, {}
+        self.parts = re.compile(pattern)
+        self.fits = spec["model"]["type"] == "BPE" and not spec["model"].get("dropout") and given in expected and not any(SIMPLE.fullmatch(t["content"]) for t in spec["added_tokens"])
+        if not self.fits:
+            return
+        self.bare = Tokenizer(tok.model)
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        vocab = spec["model"]["vocab"]
+        self.sizes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)
+        for token, i in vocab.items():
+            self.sizes[i] = len(token) - len(suffix) * bool(suffix and token.endswith(suffix))
+        # The byte-level alphabet: visible characters of Latin-1 stand for themselves, the others follow 255.
+        own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        rest = [b for b in range(256) if b not in set(own)]
+        self.alphabet = {b: 256 + k for k, b in enumerate(rest)} | {b: b for b in own}
+
+    def _encode(self, pretokens: list[str]) -> Iterable[bytes]:
+        space = chr(self.alphabet[32])
+        spelt = [p.replace(" ", space) if p.isascii() else p.encode().decode("latin-1").translate(self.alphabet) for p in pretokens]
+        packs = [spelt[at : at + SEQUENCE] for at in range(0, len(spelt), SEQUENCE)]
+        for part, done in zip(packs, self.bare.encode_batch_fast(packs, is_pretokenized=True, add_special_tokens=False)):
+            ids = np.array(done.ids, "<u4")
+            ends, want = np.cumsum(self.sizes[ids]), np.cumsum([len(p) for p in part])
+            at = np.searchsorted(ends, want)
+            if at[-1] >= len(ends) or (ends[at] != want).any():
+                raise ValueError("a token crosses pretokens")
+            data, bounds = ids.tobytes(), [0, *(4 * (at + 1)).tolist()]
+            yield from (data[a:b] for a, b in zip(bounds, bounds[1:]))
+
+    def ids(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of chunks that are given as lists of their pretokens."""
+        if len(self.table) > self.limit:
+            self.table = dict(islice(self.table.items(), self.limit // 3))
+        missing = list({p for parts in cut for p in parts if p not in self.table})
+        self.table.update(zip(missing, self._encode(missing)))
+        find = self.table.__getitem__
+        return [find(parts[0]) if len(parts) == 1 else b"".join(map(find, parts)) for parts in cut]
+
+
 @lru_cache(maxsize=4)
 def byte_bpe(path: str) -> Chunked:
     """Byte-level BPE whose pattern gives a word the one space before it. Values: ids as uint32 bytes."""
     tok = _tokenizer(path)
     feed = np.array(tok.encode("\n", add_special_tokens=False).ids, "<u4")
     gap = re.compile(r"(?<=\S) (?=\S)")
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    runs = Pretokens(tok, f" ?(?:[{LETTERS}]+|[0-9]+|[{SIGNS}]+)", [byte_level])
+    plain_text = json.loads(tok.to_str())["normalizer"] is None
 
     def whole(text: str) -> bytes:
         # White-space runs stay inside the pieces; the first piece has no space before it.
@@ -110,23 +186,24 @@ def byte_bpe(path: str) -> Chunked:
             out.append(np.array(tok.encode(raw, add_special_tokens=False).ids, "<u4").tobytes() if known is None else known)
         return b"".join(out)
 
+    def by_library(raws: list[str]) -> list[bytes]:
+        return _packed(tok, raws, "\n", int(feed[0])) if len(feed) == 1 else [np.array(tok.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in raws]
+
     def encode(chunks: list[str]) -> list[bytes | None]:
         out: list[bytes | None] = [None] * len(chunks)
-        lines, plain = [], []
-        for i, c in enumerate(chunks):
-            if stands_alone(c):
-                (lines if c[0] == "\n" else plain).append(i)
-        single = len(feed) == 1
-        for group, raw in ((plain, [" " + chunks[i] for i in plain]), (lines, [chunks[i][1:] for i in lines])):
-            ids = _packed(tok, raw, "\n", int(feed[0])) if single else [np.array(tok.encode(r, add_special_tokens=False).ids, "<u4").tobytes() for r in raw]
-            before = feed.tobytes() if group is lines else b""
-            for i, x in zip(group, ids):
-                out[i] = before + x
+        line = feed.tobytes()
+        simple = [i for i, c in enumerate(chunks) if SIMPLE.fullmatch(c)] if runs.fits and plain_text else []
+        cut = [runs.parts.findall(chunks[i][1:] if chunks[i][0] == "\n" else " " + chunks[i]) for i in simple]
+        for i, ids in zip(simple, runs.ids(cut) if simple else ()):
+            out[i] = line + ids if chunks[i][0] == "\n" else ids
+        rest = [i for i, c in enumerate(chunks) if out[i] is None and stands_alone(c)]
+        for i, ids in zip(rest, by_library([chunks[i][1:] if chunks[i][0] == "\n" else " " + chunks[i] for i in rest])):
+            out[i] = line + ids if chunks[i][0] == "\n" else ids
         return out
 
-    def split(text: str) -> list[str]:
+    def split(texts: pa.Array) -> pa.ListArray:
         # The first word has no space before it: cut as if it followed a line feed, whose id goes again.
-        return words("\n" + text)[1:]
+        return pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
 
     table = Chunked(split, encode, whole)
     table.skip = 4 * len(feed)  # type: ignore[attr-defined]
@@ -139,28 +216,46 @@ def word_bpe(path: str) -> Chunked:
     tok = _tokenizer(path)
     glue = "<|startoftext|>"
     mark = tok.token_to_id(glue)
+    # The normalizer and pre-tokenizer of the public CLIP vocabulary.
+    normal = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    pattern = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+    runs = Pretokens(tok, f"[{LETTERS}]+|[0-9]|[{SIGNS}]+", [{"type": "Sequence", "pretokenizers": [pattern, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}])
+    lowers = json.loads(tok.to_str())["normalizer"] == normal
 
     def whole(text: str) -> bytes:
         return np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(chunks: list[str]) -> list[bytes]:
-        if mark is None:
-            return [whole(c) for c in chunks]
-        return _packed(tok, chunks, f" {glue} ", mark)
-
-    odd = "\x1c\x1d\x1e\x1f"  # white space to Python only
-
-    def split(text: str) -> list[str]:
-        return re.split("[ \t\n\r\f\v]+", text.strip(" \t\n\r\f\v")) if any(c in text for c in odd) else text.split()
+        out: list[bytes | None] = [b"" if not c else None for c in chunks]
+        simple = [i for i, c in enumerate(chunks) if SIMPLE.fullmatch(c)] if runs.fits and lowers else []
+        for i, ids in zip(simple, runs.ids([runs.parts.findall(chunks[i].lower()) for i in simple]) if simple else ()):
+            out[i] = ids
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        raws = [chunks[i] for i in rest]
+        for i, ids in zip(rest, [whole(c) for c in raws] if mark is None else _packed(tok, raws, f" {glue} ", mark)):
+            out[i] = ids
+        return out
 
-    return Chunked(split, encode, whole)
+    return Chunked(pc.ascii_split_whitespace, encode, whole)
 
 
-def ids_of(table: Chunked, texts: list[str]) -> Iterable[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit bytes."""
+def ids_of(table: Chunked, texts: pa.Array) -> pa.Array:
+    """The ids of each text as little-endian unsigned 32-bit bytes (a large_binary column)."""
     skip = getattr(table, "skip", 0)
-    for text, values in zip(texts, table.values(texts)):
-        yield b"" if not text else (table.whole(text) if values is None else b"".join(values)[skip:])
+    offsets, numbers, values = table.values(texts)
+    if skip:  # of the first chunk of each text
+        numbers, first = numbers.to_numpy().copy(), offsets[:-1]
+        known, at = np.unique(numbers[first], return_inverse=True)
+        numbers[first] = len(values) + at
+        values = values + [values[k] and values[k][skip:] for k in known.tolist()]
+        numbers = pa.array(numbers)
+    ids = joined(offsets, numbers, values)
+    empty = pc.equal(pc.binary_length(texts), 0)
+    if ids.null_count or pc.any(empty).as_py():
+        rest = pc.or_(pc.is_null(ids), empty)
+        put = [b"" if not t else table.whole(t) for t in texts.filter(rest).to_pylist()]
+        ids = pc.replace_with_mask(ids, rest, pa.array(put, ids.type))
+    return ids
 
 
 @lru_cache(maxsize=2)

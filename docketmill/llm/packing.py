@@ -145,19 +145,22 @@ def places(plan: list[tuple[list[int], int]], capacity: int = CAPACITY) -> dict[
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: documents cut only where they are longer than the capacity."""
-    tail = int(end_id).to_bytes(4, "little")
+    tail, step = int(end_id).to_bytes(4, "little"), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, step = word_bpe(tokenizer), 4 * capacity
+        table = word_bpe(tokenizer)
         for batch in batches:
-            rows = []
-            for doc_id, data in zip(batch.column(0).to_pylist(), ids_of(table, batch.column(1).to_pylist())):
-                data += tail
-                for k, at in enumerate(range(0, len(data), step)):
-                    part = data[at : at + step]
-                    rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            cols = list(zip(*rows)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            data = ids_of(table, batch.column(1)).to_pylist()
+            sizes = np.array([len(x) // 4 + 1 for x in data], np.int64)
+            parts = -(-sizes // capacity)
+            doc = np.repeat(np.arange(len(data)), parts)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = piece * capacity
+            crc = []
+            for x, n in zip(data, parts.tolist()):
+                whole = x + tail
+                crc += [zlib.crc32(whole[at : at + step]) for at in range(0, n * step, step)] if n > 1 else [zlib.crc32(whole)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(np.minimum(capacity, sizes[doc] - start), pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")

@@ -17,25 +17,28 @@ import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import pieces
-
-
-def encode_texts(texts: list[str], model: str, bos: int = 1, eos: int = 2) -> Iterator[tuple[bytes, str]]:
-    """For each text its ids, begin and end ids included, as little-endian uint32 bytes, and the decoded text."""
-    table = pieces(model)
-    first, last = struct.pack("<I", bos), struct.pack("<I", eos)
-    for text, values in zip(texts, table.values(texts)):
-        if not text:
-            yield first + last, ""
-        elif values is None:
-            ids, back = table.whole(text)
-            yield first + ids + last, back.decode()
+from .chunks import _pieces, joined, pieces
+
+
+def encode_texts(texts: pa.Array, model: str) -> Iterator[tuple[bytes, bytes]]:
+    """For each text its ids, the model's begin and end ids included, as little-endian uint32 bytes, and the decoded text."""
+    table, sp = pieces(model), _pieces(model)
+    first, last = (struct.pack("<I", i) if i >= 0 else b"" for i in (sp.bos_id(), sp.eos_id()))
+    offsets, numbers, values = table.values(texts)
+    ids = joined(offsets, numbers, [v and v[0] for v in values])
+    back = joined(offsets, numbers, [v and v[1] for v in values])
+    odd = iter(texts.filter(pc.is_null(ids)).to_pylist())
+    for own, text in zip(ids.to_pylist(), back.to_pylist()):
+        if own is None:
+            text = next(odd)
+            own, text = table.whole(text) if text else (b"", b"")
         else:
-            # Decoding drops the one space that encoding puts in front.
-            yield first + b"".join([v[0] for v in values]) + last, b"".join([v[1] for v in values])[1:].decode()
+            text = text[1:]  # decoding drops the one space that encoding puts in front
+        yield first + own + last, text
 
 
 def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", payload: bool = False) -> DataFrame:
@@ -43,15 +46,15 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = list(encode_texts(batch.column(1).to_pylist(), model))
+            out = list(encode_texts(batch.column(1), model))
             cols = {
                 "doc_id": batch.column(0),
                 "n_tokens": pa.array([len(i) // 4 for i, _ in out], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in out]),
-                "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in out]),
+                "ids_sha256": pa.array([hashlib.sha256(i).hexdigest() for i, _ in out], pa.string()),
+                "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for _, t in out], pa.string()),
             }
             if payload:
-                cols |= {"ids": pa.array([i for i, _ in out], pa.binary()), "decoded": pa.array([t for _, t in out])}
+                cols |= {"ids": pa.array([i for i, _ in out], pa.binary()), "decoded": pa.array([t.decode() for _, t in out], pa.string())}
             yield pa.RecordBatch.from_pydict(cols)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

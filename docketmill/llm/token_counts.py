@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,8 +104,12 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = counter(model)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            counts = [0 if not t else table.whole(t) if v is None else sum(v) for t, v in zip(texts, table.values(texts))]
+            offsets, numbers, values = table.values(batch.column(1))
+            each = np.array([0 if v is None else v for v in values], np.int64)[numbers.to_numpy()]
+            odd = np.array([v is None for v in values], bool)[numbers.to_numpy()]
+            counts, whole = (np.diff(np.concatenate([[0], np.cumsum(x)])[offsets]) for x in (each, odd))
+            whole = np.flatnonzero(whole)
+            counts[whole] = [table.whole(t) for t in batch.column(1).take(pa.array(whole)).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "n_tokens": pa.array(counts, pa.int64())})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

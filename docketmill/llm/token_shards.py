@@ -29,11 +29,13 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import byte_bpe, ids_of
+from .chunks import byte_bpe, ids_of, vocabulary_size
 from .common import durable, shared_dir
 
 MAGIC = b"DKMILL01"
 GAMMA, LEVELS = 2.0, 24
+#: Documents of a shard, and shards of a table at most (164 million documents before shards grow).
+DOCS_PER_SHARD, MOST_SHARDS = 8192, 20_000
 
 
 def mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -179,8 +181,10 @@ class ShardReader:
         return None if offset[0] < 0 else self.read(int(offset[0]), int(length[0]))
 
 
-def shard_bounds(docs: DataFrame, id_col: str, docs_per_shard: int, most: int = 20_000) -> list[int]:
-    """First doc_id of every shard but the first; at most `most` of them, found from doc_id alone."""
+def shard_bounds(docs: DataFrame, id_col: str, docs_per_shard: int, most: int = MOST_SHARDS) -> list[int]:
+    """First doc_id of every shard but the first, found from doc_id alone.
+
+    At most `most` shards, as the bounds go to the driver: beyond docs_per_shard * most documents shards grow."""
     n = docs.agg(F.count("*")).first()[0]
     shards = min(most, -(-n // docs_per_shard))
     if shards < 2:
@@ -190,20 +194,32 @@ def shard_bounds(docs: DataFrame, id_col: str, docs_per_shard: int, most: int =
     return sorted(set(found or []))
 
 
-def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, vocab: int = 50_257, id_col: str = "doc_id", text_col: str = "text", docs_per_shard: int = 8192) -> DataFrame:
-    """Write the shards; returns their manifest: shard, path, n_docs, n_ids, start (ids in the shards before)."""
-    bounds = shard_bounds(docs, id_col, docs_per_shard)
-    width = 2 if max(vocab, end_id + 1) <= 65_536 else 4
-    end = struct.pack("<I", end_id)
+def with_end(ids: pa.Array, end_id: int, width: int) -> pa.Array:
+    """A column of uint32 ids as ids of the width, with the end id behind each row's."""
+    bounds = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset : ids.offset + len(ids) + 1] // 4
+    flat = np.frombuffer(ids.buffers()[2] or b"", "<u4", int(bounds[-1]))[bounds[0] :]
+    sizes = np.diff(bounds)
+    if width == 2 and len(flat) and flat.max() > 0xFFFF:
+        raise ValueError("an id does not fit 16 bits")
+    out = np.full(len(flat) + len(ids), end_id, "<u2" if width == 2 else "<u4")
+    out[np.arange(len(flat)) + np.repeat(np.arange(len(ids)), sizes)] = flat
+    ends = np.concatenate([[0], np.cumsum(sizes + 1)]) * width
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
+
+
+def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 2, vocab: int | None = None, id_col: str = "doc_id", text_col: str = "text", docs_per_shard: int = DOCS_PER_SHARD, most_shards: int = MOST_SHARDS) -> DataFrame:
+    """Write the shards; returns their manifest: shard, path, n_docs, n_ids, start (ids in the shards before).
+
+    vocab: the number of ids, the tokenizer's where it is not given; ids take 16 bits where all of them fit."""
+    bounds = shard_bounds(docs, id_col, docs_per_shard, most_shards)
+    width = 2 if max(vocab or vocabulary_size(tokenizer), end_id + 1) <= 65_536 else 4
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, cuts = byte_bpe(tokenizer), np.array(bounds, np.int64)
         for batch in batches:
             ids = batch.column(0)
             shard = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, np.searchsorted(cuts, ids.fill_null(0).to_numpy(zero_copy_only=False), side="right"))
-            data = (x + end for x in ids_of(table, batch.column(1).to_pylist()))
-            data = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in data] if width == 2 else list(data)
-            yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, pa.int32()), "doc_id": ids, "ids": pa.array(data, pa.binary())})
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, pa.int32()), "doc_id": ids, "ids": with_end(ids_of(table, batch.column(1)), end_id, width)})
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -237,6 +253,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 store, name = fs.FileSystem.from_uri(path)
                 shard = ShardReader(store, name)
                 offsets, lengths = shard.locate(shard.ids, shard.nulls, numbered(shard.ids, shard.nulls))
+                if (offsets < 0).any():
+                    raise ValueError(f"the index of {path} lacks a document of its own")
                 crc = [zlib.crc32(shard.read(o, n).astype("<u4").tobytes()) for o, n in zip(offsets.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array(shard.ids, pa.int64(), mask=shard.nulls), "start": pa.array(offsets + base, pa.int64()), "n_tokens": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,11 +210,12 @@ def test_chunk_tables_equal_the_libraries(plain):
     for table, name in ((chunks.byte_bpe, "byte_bpe_50k.json"), (chunks.word_bpe, "word_bpe_49k.json")):
         tok = Tokenizer.from_file(P.path(name))
         want = [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch(texts, add_special_tokens=False)]
-        assert list(chunks.ids_of(table(P.path(name)), texts)) == want
+        assert chunks.ids_of(table(P.path(name)), pa.array(texts)).to_pylist() == want
+        assert chunks.ids_of(table(P.path(name)), pa.array(texts).slice(7, 9)).to_pylist() == want[7:16]
     sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
-    for t, (ids, back) in zip(texts, sentencepiece_codec.encode_texts(texts, P.path("piece_bpe_32k.model"))):
+    for t, (ids, back) in zip(texts, sentencepiece_codec.encode_texts(pa.array(texts), P.path("piece_bpe_32k.model"))):
         want = sp.encode(t, add_bos=True, add_eos=True)
-        assert ids == np.array(want, "<u4").tobytes() and back == sp.decode(want)
+        assert ids == np.array(want, "<u4").tobytes() and back.decode() == sp.decode(want)
 
 
 def test_token_counts(docs, plain, empty):
@@ -384,3 +386,22 @@ def test_pipeline_on_small_tables(spark, tmp_path):
             counts.append(docs.count())
     assert counts == sorted(counts, reverse=True) and counts[3] == counts[4]
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_every_sign_is_cut_as_the_libraries_cut_it():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    signs = [chr(c) for c in range(33, 127)] + list("àßÿ×÷ªº¿İıſK") + ["́", "​", "\xad", "中", "😀"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    texts += [" ".join(rng.sample(texts, 30)) for _ in range(50)] + ["\n".join(rng.sample(texts, 30)) for _ in range(50)]
+    texts += ["x" * 300_000, "ab1! " * 60_000, "it's 'tis we'll I'd" * 20, "a\n\nb", " lead", "trail ", "\n", "\nline", "tab\tin"]
+    for table, name in ((chunks.byte_bpe, "byte_bpe_50k.json"), (chunks.word_bpe, "word_bpe_49k.json")):
+        tok = Tokenizer.from_file(P.path(name))
+        want = [np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        for limit in (chunks.LIMIT, 10):  # the table is cut back before every batch
+            own = table.__wrapped__(P.path(name))
+            own.limit = limit
+            got = [x for at in range(0, len(texts), 500) for x in chunks.ids_of(own, pa.array(texts[at : at + 500])).to_pylist()]
+            assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+            assert all(len(c) <= chunks.LONGEST for c in own.table)
