@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch may hold: texts can be long, so a batch stays small in bytes.
-BATCH_ROWS = 1024
+#: Rows and bytes that one Arrow batch may hold.
+BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,28 +21,77 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Bound the bytes of an Arrow batch by bounding its rows."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Bound the Arrow batches of the session, as texts may be long; tighter bounds that it has stay.
+
+    The queries and stages call this, the operators do not: they take batches of any size."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{key}"
+        given = str(spark.conf.get(key)).rstrip("bB")
+        if not given.isdigit() or not 0 < int(given) <= most:
+            spark.conf.set(key, str(most))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
+    """The folder that driver and executors share.
+
+    Only in local mode, where they are one process, may the session leave it unset."""
     given = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    return (given or "file:///tmp/docketmill-shared").rstrip("/")
+    if given:
+        return given.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"file://{tempfile.gettempdir()}/docketmill-shared"
+
+
+def own_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one; it goes when the driver's Python ends."""
+    path = f"{shared_dir(spark)}/docketmill-{spark.sparkContext.applicationId}"
+    if path not in _folders:
+        _folders.add(path)
+        atexit.register(remove, spark, path)
+    return path
+
+
+_folders: set[str] = set()
+
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if the session can still do it."""
+    try:
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # noqa: BLE001  the session has ended, or the store refuses: the files stay
+        return
 
-def durable(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+
+class Durable(NamedTuple):
+    """A written table and where it is."""
+
+    df: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the table, once all that is made of it has been written."""
+        remove(self.df.sparkSession, self.path)
+
+
+def written(df: DataFrame) -> Durable:
     """Write df as Parquet in the shared folder and read it again.
 
     Cuts the lineage with replicated files rather than executor-held blocks, so a lost executor costs
     no recomputation and the plan is evaluated once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/docketmill-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return Durable(spark.read.schema(df.schema).parquet(path), path)
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """A written table that stays until the application ends."""
+    return written(df).df
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:

@@ -3,8 +3,8 @@
 Method: a Misra-Gries pass over the digests of normalised texts finds every digest that could hold
 more than 2/(k+1) of the rows. For those at most k digests the winner and the group size are
 aggregated exactly (partial aggregation, no row of theirs is shuffled) and broadcast: at most k rows.
-All other digests are grouped by an ordinary shuffle, whose largest group is now bounded by
-2n/(k+1) rows.
+All other digests are aggregated by an ordinary shuffle and joined back; their largest group is bounded
+by 2n/(k+1) rows.
 
 Cases: null text counts as empty, empty texts equal one another; repeated rows (same doc_id) are
 rows of their own and share the fate of their group (the one that stays is kept once: the rows equal
@@ -17,10 +17,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, free_name
+from .common import durable, free_name, written
 
 #: Counters of the Misra-Gries summary, and so the most digests that are ever broadcast.
 HEAVY = 256
@@ -82,8 +82,9 @@ def decide(rows: DataFrame, k: int = HEAVY) -> DataFrame:
     winners = durable(winners)  # at most k rows
     easy = rows.join(F.broadcast(winners), "digest")
     rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-    by = Window.partitionBy("digest")
-    rest = rest.withColumns({"_best": F.min(order).over(by), "group_size": F.count("*").over(by)})
+    # Partial aggregates and a join that Spark can split, not a window that takes a group into one task.
+    best = rest.groupBy("digest").agg(F.min(order).alias("_best"), F.count("*").alias("group_size"))
+    rest = rest.join(best, "digest")
     return easy.select(*rest.columns).unionByName(rest)
 
 
@@ -104,9 +105,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = HEAVY, most: int = 1_000_000) -> DataFrame:
-    """The rows of docs that stay. The rows that go are broadcast where a count finds at most `most`."""
+    """The rows of docs that stay, unchanged. The rows that go are broadcast where a count finds at most `most`.
+
+    Null and empty texts are one group; of repeated rows one stays; ties in length go to the smaller id; an empty
+    table stays empty; other columns take no part, whatever their names."""
     row = free_name(docs, "_row")
     numbered = durable(docs.withColumn(row, F.monotonically_increasing_id()))
-    rows = durable(numbered.select(*_measured(numbered, id_col, text_col), F.col(row).alias("_row")))
-    gone = durable(decide(rows, k).filter(F.col("_row") != F.col("_best.r")).select(F.col("_row").alias(row)))
+    rows = written(numbered.select(*_measured(numbered, id_col, text_col), F.col(row).alias("_row")))
+    gone = durable(decide(rows.df, k).filter(F.col("_row") != F.col("_best.r")).select(F.col("_row").alias(row)))
+    rows.drop()
     return numbered.join(F.broadcast(gone) if gone.count() <= most else gone, row, "left_anti").select(docs.columns)

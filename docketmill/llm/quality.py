@@ -9,7 +9,7 @@ The sample has at most SAMPLE rows, those with the smallest hash of their id, wh
 features have a fixed number of dimensions, so the broadcast is bounded.
 
 Cases: null text counts as empty; texts without features, and all texts when there are no labels, get the
-sample's share of label 1 (0.5 without labels); labels that are null or other than 0 and 1 are not learnt from; of several
+sample's share of label 1 (0.5 without labels); all sample rows that tie with the last neighbour vote, too; labels that are null or other than 0 and 1 are not learnt from; of several
 labels of a row each counts; repeated rows give repeated rows; rows with a null doc_id are scored and not held out;
 an empty table gives an empty result; extra columns are left alone.
 """
@@ -44,11 +44,11 @@ class Model(NamedTuple):
 def shape(word: str) -> str:
     """Kinds of characters with runs taken together, letters by case and digits as one kind each."""
     out = []
-    for c in word[:64]:
+    for c in word:
         k = "X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c
         if not out or out[-1] != k:
             out.append(k)
-    return "".join(out[:8])
+    return "".join(out)
 
 
 class _Features(dict):
@@ -77,10 +77,13 @@ def counts(texts: list[str]) -> np.ndarray:
         out[i, SHAPES : SHAPES + WORDS] = np.bincount((x & 0xFFFFFFFF) % WORDS, minlength=WORDS) / n
         same = (x[1:] == x[:-1]).mean() if n > 1 else 0.0
         out[i, SHAPES + WORDS + min(7, int(same * 16))] = 1
-        # Distinct words in stretches of 64.
-        full = x[: n // 64 * 64].reshape(-1, 64) if n >= 64 else x[None, :]
-        ordered = np.sort(full, axis=1)
-        fresh = ((ordered[:, 1:] != ordered[:, :-1]).sum(axis=1) + 1).mean() / full.shape[1]
+        # Distinct words in stretches of 64, the last one as long as it is.
+        fresh = 0
+        for part in (x[: n // 64 * 64].reshape(-1, 64), x[n // 64 * 64 :][None, :]):
+            if part.size:
+                ordered = np.sort(part, axis=1)
+                fresh += (ordered[:, 1:] != ordered[:, :-1]).sum() + len(part)
+        fresh /= n
         out[i, SHAPES + WORDS + 8 + min(15, int(fresh * 16))] = 1
     return out
 
@@ -115,16 +118,19 @@ def fit(raw: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
     return Model(idf, axes, unit(x @ axes), labels.astype(np.float32), float(labels.mean()))
 
 
-def vote(model: Model, raw: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Similarity-weighted share of label 1 among the nearest neighbours."""
+def vote(model: Model, raw: np.ndarray, neighbours: int = NEIGHBOURS, block: int = 1024) -> np.ndarray:
+    """Similarity-weighted share of label 1 among the nearest neighbours, all that tie with the last of them included."""
     if not len(model.labels) or not len(raw):
         return np.full(len(raw), model.prior)
+    if len(raw) > block:
+        return np.concatenate([vote(model, raw[at : at + block], neighbours, block) for at in range(0, len(raw), block)])
     cos = unit(weighted(raw, model.idf) @ model.axes) @ model.vectors.T
     k = min(neighbours, cos.shape[1])
-    near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-    weight = np.clip(np.take_along_axis(cos, near, axis=1).astype(np.float64), 0, 1) ** POWER
-    total = weight.sum(axis=1)
-    score = (weight * model.labels[near]).sum(axis=1) / np.where(total > 0, total, 1)
+    last = np.partition(cos, cos.shape[1] - k, axis=1)[:, cos.shape[1] - k]
+    row, near = np.nonzero(cos >= last[:, None])
+    weight = np.clip(cos[row, near].astype(np.float64), 0, 1) ** POWER
+    total = np.bincount(row, weight, len(raw))
+    score = np.bincount(row, weight * model.labels[near], len(raw)) / np.where(total > 0, total, 1)
     return np.where((total > 0) & (raw.sum(axis=1) > 0), np.clip(score, 0, 1), model.prior)
 
 
@@ -166,7 +172,10 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that score at least the threshold, unchanged."""
+    """The rows of docs that score at least the threshold, unchanged.
+
+    Null and empty texts score the model's prior; repeated rows stay or go together; an empty table stays empty;
+    other columns take no part, whatever their names."""
     schema, sent = docs.schema, docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,9 +33,11 @@ LEAD = ("passw", "secret", "token", "api")
 SENSITIVE = re.compile(r"key|auth|bearer|credential|private|secret|token|passw|session|cookie|signature|salt|cert|access", re.I | re.A)
 #: Fewest characters of a candidate.
 LEAST = 20
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
-#: Characters before a candidate in which a sensitive word must stand; those that prime its compression.
-NEAR, AROUND = 40, 1024
+#: Names end at "=" and ":"; padding belongs to a candidate.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-]{%d,}={0,2}" % LEAST)
+#: Characters before a candidate in which a sensitive word must stand; those on either side that prime its
+#: compression. Both are parameters of the operator; the README has what other values find.
+NEAR, AROUND = 64, 1024
 #: Characters of the shortest passage that counts as a copy.
 COPY = 16
 #: Compressed bytes a character from which a candidate is novel: random strings add about one, and long ones
@@ -69,7 +71,10 @@ IDENTIFIERS = (
 def _compressor():
     import zstandard
 
-    return zstandard.ZstdCompressor(level=9, dict_data=zstandard.ZstdCompressionDict(IDENTIFIERS.encode() * 2, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    # Names come in lower, title and upper case; matches of three characters let short words count.
+    spelt = " ".join([IDENTIFIERS, IDENTIFIERS, IDENTIFIERS.title(), IDENTIFIERS.upper()]).encode()
+    primed = zstandard.ZstdCompressionDict(spelt, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(13, min_match=3), dict_data=primed)
 
 
 def novelty(candidate: str, around: str) -> float:
@@ -96,10 +101,10 @@ def _grams(word: str) -> set[str]:
     return {word[i : i + COPY] for i in range(len(word) - COPY + 1)}
 
 
-def surroundings(text: str, start: int, end: int) -> str:
-    """AROUND characters before and after the candidate, without passages that also stand in it."""
+def surroundings(text: str, start: int, end: int, around: int = AROUND) -> str:
+    """`around` characters before and after the candidate, without passages that also stand in it."""
     grams, out = _grams(text[start:end]), []
-    for low, high in ((max(0, start - AROUND), start), (end, min(len(text), end + AROUND))):
+    for low, high in ((max(0, start - around), start), (end, min(len(text), end + around))):
         # Copies that the bounds cut are seen whole; none goes into the candidate itself.
         first, last = (max(0, low - (end - start)), high) if high == start else (low, min(len(text), high + end - start))
         keep = bytearray(b"\1") * (last - first)
@@ -147,25 +152,25 @@ def with_copies(text: str, base: list[tuple[int, int, int]], found: list[tuple[i
     return sorted(found)
 
 
-def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def novel_spans(text: str, base: list[tuple[int, int, int]], near: int = NEAR, around: int = AROUND) -> list[tuple[int, int, int]]:
     """Sensitive, incompressible strings outside the base spans."""
     out: list[tuple[int, int, int]] = []
     if not SENSITIVE.search(text):
         return out
     for m in CANDIDATE.finditer(text):
         for start, end in outside(*m.span(), base):
-            if end - start < LEAST or not SENSITIVE.search(text, max(0, m.start() - NEAR), start):
+            if end - start < LEAST or not SENSITIVE.search(text, max(0, m.start() - near), start):
                 continue
             word = without_repeats(text[start:end])
-            if novelty(word, surroundings(text, start, end)) >= (LONG_NOVEL if len(word) >= LONG else NOVEL):
+            if novelty(word, surroundings(text, start, end, around)) >= (LONG_NOVEL if len(word) >= LONG else NOVEL):
                 out.append((start, 3, end))
     return with_copies(text, base, out) if out else out
 
 
-def all_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def all_spans(text: str, near: int = NEAR, around: int = AROUND) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and those with the novel ones, each by start and then kind."""
     base = base_spans(text)
-    return base, sorted(base + novel_spans(text, base))
+    return base, sorted(base + novel_spans(text, base, near, around))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -184,12 +189,15 @@ def redact(text: str, spans: list[tuple[int, int, int]], put: str = "[REDACTED]"
     return "".join(out) + text[at:]
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans."""
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR, around: int = AROUND) -> DataFrame:
+    """Per row: doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans.
+
+    near: characters before a candidate in which a sensitive word must stand; around: those on either side of
+    it that its novelty is measured against."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [all_spans(t) for t in batch.column(1).to_pylist()]
+            found = [all_spans(t, near, around) for t in batch.column(1).to_pylist()]
             counts = {f"n_{name}": pa.array([sum(x[1] == k for x in every) for _, every in found], pa.int64()) for k, name in enumerate(KINDS)}
             digests = pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found])
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), **counts, "base_sha256": digests, "spans": pa.array([joined(every) for _, every in found])})
@@ -198,14 +206,16 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, n_novel long, base_sha256 string, spans string")
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with every found secret replaced in its text; null texts and all other columns stay as they are."""
+def redact_secrets(docs: DataFrame, text_col: str = "text", near: int = NEAR, around: int = AROUND) -> DataFrame:
+    """docs with every found secret replaced in its text; null texts and all other columns stay as they are.
+
+    Every row stays, repeated ones too; empty texts stay empty; an empty table stays empty."""
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            texts = [None if t is None else redact(t, all_spans(t)[1]) for t in batch.column(at).to_pylist()]
+            texts = [None if t is None else redact(t, all_spans(t, near, around)[1]) for t in batch.column(at).to_pylist()]
             cols = list(batch.columns)
             cols[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .chunks import byte_bpe, ids_of, vocabulary_size
-from .common import durable, shared_dir
+from .common import durable, own_dir
 
 MAGIC = b"DKMILL01"
 GAMMA, LEVELS = 2.0, 24
@@ -264,4 +264,4 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
 
 def new_folder(spark) -> str:
-    return f"{shared_dir(spark)}/docketmill-shards-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/shards-{uuid.uuid4().hex}"

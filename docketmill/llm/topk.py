@@ -5,13 +5,15 @@ scores in each query's current interval; the counts are summed over all tasks, t
 highest score becomes the next interval, until a bin is one integer wide. The last pass keeps what is above
 the kth score, and of what equals it the smallest ids, which a window orders.
 
-Vectors become integers floor(scale * x). Queries are taken in blocks of at most about BLOCK rows, so the
-broadcast is bounded; a task sends for each query only the highest bins that hold k of its own scores,
-since the kth score of all is at least that of a part.
+Vectors become integers floor(scale * x). Queries are taken in blocks of about BLOCK rows, so the broadcast
+and a task's histograms are bounded; each block's result is written before the next block begins, and the
+result is read from one folder, so its plan is the same for any number of queries. A task sends for each query
+only the highest bins that hold k of its own scores, since the kth score of all is at least that of a part.
 
 Cases: vectors that are null or hold null or non-finite components take no part, neither do empty ones;
 vectors of other lengths than a query's are no candidates of it; rows with a query's own id are no
-candidates; repeated rows are candidates each; equal scores go to the smaller id; with fewer than k
+candidates; repeated rows are candidates each, but a query id asks once: of several vectors with it the smallest,
+by their components in order; equal scores go to the smaller id; with fewer than k
 candidates all are returned; an empty table gives an empty result; extra columns are left alone. Scores
 are computed in doubles where they are provably exact and in 64-bit integers beyond; a possible overflow of
 those raises.
@@ -19,6 +21,7 @@ those raises.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import own_dir
+
 BLOCK, BINS = 4096, 1024
 
 
@@ -59,16 +64,21 @@ def top_k(df: DataFrame, every: int = 50, k: int = 5, scale: int = 256, id_col:
     """query_id, rank, vec_id, score for the rows whose id is divisible by `every`."""
     spark = df.sparkSession
     rows = integer_vectors(df, id_col, vec_col, scale)
-    asked = rows.filter(F.pmod(F.col("id"), F.lit(every)) == 0)
-    largest, n = rows.agg(F.max(F.expr("array_max(transform(v, x -> abs(x)))")), F.sum(F.when(F.pmod(F.col("id"), F.lit(every)) == 0, 1).otherwise(0))).first()
+    asked = rows.filter(F.pmod(F.col("id"), F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
+    largest = rows.agg(F.max(F.expr("array_max(transform(v, x -> abs(x)))"))).first()[0]
+    blocks = -(-asked.count() // block)
     schema = "query_id long, rank int, vec_id long, score long"
-    blocks = -(-(n or 0) // block)
-    out = None
+    if not blocks:
+        return spark.createDataFrame([], schema)
+    path = f"{own_dir(spark)}/{uuid.uuid4().hex}"
     for b in range(blocks):
-        mine = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()  # about `block` rows
+        mine = asked.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()  # about `block` rows, one for each id
         part = _block(spark, rows, mine, largest, k, bins)
-        out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
+        if blocks == 1:
+            return part
+        if mine:
+            part.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _block(spark, rows: DataFrame, mine: list, largest: float, k: int, bins: int) -> DataFrame:

@@ -328,15 +328,53 @@ def test_packing(spark, docs, plain, empty):
 
 def test_configurations_cover_and_are_near_the_bound():
     rng = np.random.default_rng(3)
-    counts = np.bincount(rng.integers(1, 257, 5000), minlength=257)
-    plan = packing.plan_configurations(counts, 256)
-    used = np.zeros(257, int)
-    for lengths, times in plan:
-        assert sum(lengths) <= 256
-        for s in lengths:
-            used[s] += times
-    assert (used == counts).all()
-    assert sum(t for _, t in plan) <= 1.015 * -(-int((counts * np.arange(257)).sum()) // 256) + 1
+    shapes = {
+        "texts": (np.clip(rng.lognormal(4.3, 1.1, 60_000).astype(int) + 1, 1, 2048), 2048, 1.0005),
+        "thirds": (np.concatenate([rng.integers(683, 760, 20_000), rng.integers(200, 600, 20_000)]), 2048, 1.005),
+        "halves": (np.concatenate([rng.integers(1025, 1300, 20_000), rng.integers(300, 800, 20_000)]), 2048, 1.005),
+        "one": (np.full(1000, 690), 2048, 1.0),
+        "few": (rng.integers(1, 257, 5000), 256, 1.015),
+        "sand": (rng.integers(1, 60, 5000), 2048, 1.0),
+        "full": (np.full(7, 2048), 2048, 1.0),
+        "none": (np.zeros(0, int), 64, 1.0),
+    }
+    for name, (lengths, capacity, most) in shapes.items():
+        counts = np.bincount(lengths, minlength=capacity + 1)
+        solution = packing.solve(counts, capacity)
+        plan = packing.plan_configurations(counts, capacity, solution)
+        used = np.zeros(capacity + 1, int)
+        for bin_, times in plan:
+            assert 0 < sum(bin_) <= capacity
+            for s in bin_:
+                used[s] += times
+        assert (used == counts).all()
+        n = sum(times for _, times in plan)
+        assert np.ceil(solution.bound - 1e-6) <= n <= most * solution.bound + 1, (name, n, solution.bound)
+
+
+def test_the_bound_holds_for_small_packings():
+    """Against the fewest sequences found by trying all."""
+    from functools import lru_cache
+
+    rng = random.Random(17)
+
+    @lru_cache(maxsize=None)
+    def fewest(lengths, capacity):
+        if not lengths:
+            return 0
+        out, rest = len(lengths), lengths[1:]
+        for mask in range(1 << len(rest)):
+            beside = [x for k, x in enumerate(rest) if mask >> k & 1]
+            if lengths[0] + sum(beside) <= capacity:
+                out = min(out, 1 + fewest(tuple(x for k, x in enumerate(rest) if not mask >> k & 1), capacity))
+        return out
+
+    for _ in range(40):
+        lengths = tuple(sorted((rng.randint(1, 20) for _ in range(8)), reverse=True))
+        counts = np.bincount(lengths, minlength=21)
+        solution, best = packing.solve(counts, 20), fewest(lengths, 20)
+        assert solution.bound <= best + 1e-6
+        assert sum(t for _, t in packing.plan_configurations(counts, 20, solution)) <= best + 1
 
 
 def test_top_k(spark):
@@ -405,3 +443,66 @@ def test_every_sign_is_cut_as_the_libraries_cut_it():
             got = [x for at in range(0, len(texts), 500) for x in chunks.ids_of(own, pa.array(texts[at : at + 500])).to_pylist()]
             assert [t for t, a, b in zip(texts, got, want) if a != b] == []
             assert all(len(c) <= chunks.LONGEST for c in own.table)
+
+
+def test_novel_recall_and_false_reports():
+    import string
+
+    rng = random.Random(31)
+    alphabets = [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits, string.digits + "ABCDEF", string.ascii_letters]
+    names = ["session_cookie", "auth_key", "AUTH", "credential_value", "my_service.private.signing_key_value", "Bearer", "signature"]
+    forms = ['{n} = "{s}"', "{n}={s}", '{n} header "{s}" end', "{n}: {s}"]
+    for form in forms:
+        found = 0
+        for k in range(200):
+            own = "".join(rng.choice(alphabets[k % 5]) for _ in range(rng.randint(20, 64)))
+            text = "def f():\n    " + form.format(n=names[k % 7], s=own) + "\n    return value\n"
+            found += own not in secrets.redact(text, secrets.all_spans(text)[1])
+        assert found >= 0.95 * 200, (form, found)
+    words = secrets.IDENTIFIERS.split()
+    false = 0
+    for k in range(400):
+        name = rng.choice("_.-").join(rng.sample(words, 4))
+        text = f'auth_key={name}\nprivate = "{name}.value"\nsession header "{"/".join(rng.sample(words, 4))}" end'
+        false += len(secrets.all_spans(text)[1])
+        false += len(secrets.all_spans(f"SECRET_KEY = {name.upper()}\ncredential({name.title().replace('_', '')})")[1])
+    assert false <= 0.08 * 2000
+
+
+def brute_novel(text, base):
+    """What the docstring of the module says, a candidate at a time."""
+    rx = re.compile(r"[A-Za-z0-9+/_.-]{20,}={0,2}")
+    inside = {i for s, _, e in base for i in range(s, e)}
+    found = []
+    for m in rx.finditer(text):
+        at = m.start()
+        while at < m.end():
+            if at in inside:
+                at += 1
+                continue
+            end = at
+            while end < m.end() and end not in inside:
+                end += 1
+            if end - at >= 20 and secrets.SENSITIVE.search(text[max(0, m.start() - secrets.NEAR) : at]):
+                word = text[at:end]
+                if secrets.novelty(word, text[max(0, at - secrets.AROUND) : at] + text[end : end + secrets.AROUND]) >= (secrets.LONG_NOVEL if len(word) >= secrets.LONG else secrets.NOVEL):
+                    found.append((at, 3, end))
+            at = end
+    return sorted(found)
+
+
+def test_novel_spans_equal_brute_force_without_copies():
+    rng = random.Random(32)
+    words = secrets.IDENTIFIERS.split()
+    some = 0
+    for k in range(150):
+        parts = []
+        for _ in range(12):
+            noise = "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789") for _ in range(rng.randint(15, 90)))
+            name = rng.choice(["auth_key", "color", "token", "cert", "title"])
+            parts.append(rng.choice([f"{name}={noise}", f'{name} = "{noise}"', f"{name}_{rng.choice(words)}_{rng.choice(words)}_{rng.choice(words)}", " ".join(rng.sample(words, 6)), "deadbeef" * 3 + "." + noise]))
+        text = "\n".join(parts)
+        base, every = secrets.all_spans(text)
+        assert [x for x in every if x[1] == 3] == brute_novel(text, base)
+        some += len(every) - len(base)
+    assert some > 50
