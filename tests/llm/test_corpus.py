@@ -196,10 +196,37 @@ def test_substring_dedup(docs, plain, empty):
 def test_lengthened_prefixes_give_the_same(spark, docs):
     rows = docs.select("doc_id", F.hash("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
 
-    def starts(group, spread=substring_dedup.SPREAD):
-        return sorted({(r.doc_id, r.row, s) for r in substring_dedup.repeated_ranges(rows, 50, group, spread).collect() for s in range(r.s, r.e + 1)})
-
-    assert starts(1) == starts(1, 0) == starts(1, 20) == starts(10_000) != []
+    def starts(group, most=substring_dedup.MOST):
+        return sorted({(r.doc_id, r.row, s) for r in substring_dedup.repeated_ranges(rows, 50, group, most).collect() for s in range(r.s, r.e + 1)})
+
+    assert starts(0) == starts(0, 0) == starts(5) == starts(10_000) != []
+
+
+def test_suffix_trees_find_what_comparing_all_windows_finds():
+    rng = random.Random(41)
+    for window in (1, 2, 6, 9):
+        texts = []
+        for i in range(60):
+            words = [rng.choice("abc") for _ in range(rng.randint(0, 40))]
+            texts.append((rng.randint(0, 9), [w.encode() for w in (texts and rng.random() < 0.4 and [x.decode() for x in rng.choice(texts)[1]] or words)]))
+        rows, want, got = [], {}, {}
+        for n, (doc, words) in enumerate(texts):
+            hashes = substring_dedup.word_hashes(words)
+            where, prefixes = substring_dedup.anchors(hashes, window)
+            for p in range(len(words) - window + 1):
+                key = tuple(words[p : p + window])
+                want[key] = min(doc, want.get(key, doc))
+            for a in sorted(set(where.tolist())):
+                own = np.flatnonzero(where == a)
+                assert (np.diff(own) == 1).all()
+                rows.append((int(prefixes[a]), n, int(own[0]), a - int(own[0]), b" ".join(words[own[0] : own[-1] + window]), len(own)))
+        for prefix in {r[0] for r in rows}:
+            part = [r for r in rows if r[0] == prefix]
+            leaf, least = substring_dedup.least_documents(pa.array([r[4] for r in part], pa.binary()), np.array([r[3] for r in part]), np.array([texts[r[1]][0] for r in part]), window)
+            for r, k in zip(part, leaf):
+                for s in range(r[2], r[2] + r[5]):
+                    got[r[1], s] = int(least[k, r[2] + r[3] - s])
+        assert got == {(n, p): want[tuple(words[p : p + window])] for n, (_, words) in enumerate(texts) for p in range(len(words) - window + 1)}
 
 
 def test_chunk_tables_equal_the_libraries(plain):
