@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker holds at most; at the limit the first third stays, which has the frequent ones.
-LIMIT = 1_000_000
+LIMIT = 600_000
 #: Characters of the longest chunk that is kept.
 LONGEST = 128
 #: Chunks that are given to a tokenizer as one text, and pretokens as one sequence.
@@ -50,6 +50,7 @@ class Chunked:
 
     def values(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array, list]:
         """Where each text's chunks begin, the number of every chunk, and the value of every number."""
+        pa.default_memory_pool().release_unused()  # of the batch before
         cut = self.split(texts)
         flat = cut.flatten().dictionary_encode()
         if len(self.table) > self.limit:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes that one Arrow batch may hold.
-BATCH_ROWS, BATCH_BYTES = 4096, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
