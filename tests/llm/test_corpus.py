@@ -533,3 +533,89 @@ def test_novel_spans_equal_brute_force_without_copies():
         assert [x for x in every if x[1] == 3] == brute_novel(text, base)
         some += len(every) - len(base)
     assert some > 50
+
+
+CLASHING = "doc_id long, text string, lang string, held_out string, rank int, row int, _row int, _near_mark string, fp long, digest string, length int, _bucket int, _len int, spots string, words string, mark string, n_chars int"
+
+
+def clashing_rows():
+    texts = [t if t is None or len(t) < 3000 else t[:3000] for t in odd_texts()]
+    texts += ["word " * 60_000, "x" * 300_000, "auth_key=" + "kJ8s0dPq2Zx9Lw3Vb7Nc5Tm1" + " " + "long tail " * 40_000]
+    rows = [(i, t, "en", "h", 1, 2, 3, "m", 4, "d", 5, 6, 7, "s", "w", "k", len(t or "")) for i, t in enumerate(texts)]
+    return rows + [rows[9], rows[9], (None, "a null id", *rows[0][2:])]
+
+
+@pytest.fixture(scope="module")
+def clashing(spark):
+    return spark.createDataFrame(clashing_rows(), CLASHING).repartition(4).cache()
+
+
+def test_every_operator_takes_clashing_columns_long_texts_and_repeated_rows(spark, clashing):
+    labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(25)], "doc_id long, quality int, toxic int")
+    n = clashing.count()
+    bpe, words, model = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json"), P.path("piece_bpe_32k.model")
+    assert quality.score_quality(clashing, quality.learn(clashing, labels)).count() == n
+    assert token_counts.token_counts(clashing, model).filter("n_tokens >= 0").count() == n
+    removed = substring_dedup.remove_repeats(clashing)
+    assert removed.count() == n and removed.filter("n_removed > n_words").count() == 0
+    assert simhash.near_duplicates(clashing).count() == n
+    assert sentencepiece_codec.encode_decode(clashing, model).count() == n
+    assert exact_dedup.exact_dedup(clashing).count() == n
+    shards = token_shards.read_shards(token_shards.write_shards(clashing, bpe, token_shards.new_folder(spark), docs_per_shard=7))
+    assert shards.count() == n
+    assert secrets.scan_secrets(clashing).count() == n
+    pieces = packing.best_fit_packing(clashing, words).cache()
+    assert pieces.filter("piece = 0").count() == n
+    assert pieces.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_every_stage_takes_clashing_columns_and_empty_tables(spark, clashing):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, clashing, sf)
+        assert out.count() > 0
+        none = stage(spark, clashing.filter("false"), sf)
+        assert none.count() == 0
+        if name != "packing":
+            assert out.columns == none.columns == clashing.columns
+            bare = stage(spark, clashing.select("doc_id", "text"), sf)
+            assert bare.columns == ["doc_id", "text"] and bare.count() == out.count()
+            extra = out.filter("doc_id IS NOT NULL AND (row <> 2 OR fp <> 4 OR words <> 'w')")
+            assert extra.count() == 0
+
+
+def test_exact_neighbours_vote_as_brute_force_does(spark):
+    rng = random.Random(51)
+    vocab = [f"w{i}" for i in range(80)] + ["A1!", "b2?", "CCC", "dd-ee"]
+    texts = [" ".join(rng.choice(vocab[: 20 + i % 60]) for _ in range(rng.randint(0, 200))) for i in range(160)] + ["", "same text"] + ["same text"] * 3
+    raw = quality.counts(texts)
+    model = quality.fit(raw[:100], np.array([float(i % 3 == 0) for i in range(100)], np.float32))
+    got = quality.vote(model, raw, block=16)
+    for t, r, score in zip(texts, raw, got):
+        v = quality.unit(quality.weighted(r[None, :], model.idf) @ model.axes)[0]
+        cos = [float(np.float32(v @ w)) for w in model.vectors]
+        last = sorted(cos, reverse=True)[quality.NEIGHBOURS - 1]
+        votes = [(max(0.0, min(1.0, c)) ** quality.POWER, y) for c, y in zip(cos, model.labels) if c >= last - 1e-6]
+        total = sum(w for w, _ in votes)
+        want = model.prior if not t.split() or not total else sum(w * y for w, y in votes) / total
+        assert abs(score - want) < 0.02, (t[:40], score, want)
+    long = "word " * 63 + "A-1" * 40
+    assert (quality.counts([long]) != quality.counts([long[:-3] + "zzz"])).any()
+    assert (quality.counts(["a b " * 32 + "c"]) != quality.counts(["a b " * 32 + "c d e f g"])).any()
+
+
+def test_held_out_labels_are_told_apart(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.score_quality(docs, quality.learn(docs, labels)).join(labels, "doc_id").filter("held_out AND quality IN (0, 1)").collect()
+    good, bad = ([r.score for r in rows if r.quality == y] for y in (1, 0))
+    auc = sum((a > b) + 0.5 * (a == b) for a in good for b in bad) / (len(good) * len(bad))
+    assert auc > 0.95 and sum(r.predicted == r.quality for r in rows) > 0.9 * len(rows)
+
+
+def test_one_query_id_asks_once(spark):
+    rows = [(0, [1.0, 2.0]), (0, [3.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.5]), (2, [2.0, 0.5]), (3, [0.0, 9.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(0, 1, 3, 18), (0, 2, 1, 3), (0, 3, 2, 2), (0, 4, 2, 2)]
