@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .regex import hits, strip
+from .regex import bound, folded, hits, hits_in, java, strip
 from .text import filled
 
 HEAD, WINDOW = 400, 3000
@@ -22,18 +22,18 @@ def windows(text: Column, size: int = WINDOW) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i * step + 1, F.lit(size)))
 
 
-def _type_score(text: Column, least: int, signals: list[tuple[str, str, int]], bonus: Column) -> Column:
+def _type_score(text: Column, low: Column, least: int, signals: list[tuple[str, str, int]], bonus: Column) -> Column:
     head = F.substring(text, 1, HEAD)
     # The head is only looked at where the whole was hit.
-    parts = [F.when(hits(text, p, f), F.when(bonus & hits(head, p, f), 2 * w).otherwise(w)).otherwise(0) for p, f, w in signals]
-    total = reduce(lambda a, b: a + b, parts)
-    return F.when(total >= least, total).otherwise(0)
+    parts = [F.when(hits_in(text, low, p, f), F.when(bonus & hits(head, p, f), 2 * w).otherwise(w)).otherwise(0) for p, f, w in signals]
+    return bound(reduce(lambda a, b: a + b, parts), lambda total: F.when(total >= least, total).otherwise(0))
 
 
 def type_scores(text: Column, bonus: Column | None = None, rules: Rules = V.PIECE_RULES) -> Column:
     """array<int> in rule order: the weights of the signals that hit, those in the head twice under a
     bonus; zero below the type's least score."""
-    return F.array(*[_type_score(text, least, signals, F.lit(True) if bonus is None else bonus) for _, least, signals in rules])
+    more = F.lit(True) if bonus is None else bonus
+    return bound(folded(text), lambda low: F.array(*[_type_score(text, low, least, signals, more) for _, least, signals in rules]))
 
 
 def confidence(best: Column, second: Column) -> Column:
@@ -100,7 +100,8 @@ def accepted_type(piece: Column) -> Column:
 
 
 def cover_score(text: Column) -> Column:
-    return reduce(lambda a, b: a + b, [F.when(hits(filled(text), p, f), w).otherwise(0) for p, f, w in V.COVER_SIGNALS])
+    score = lambda t, low: reduce(lambda a, b: a + b, [F.when(hits_in(t, low, p, f), w).otherwise(0) for p, f, w in V.COVER_SIGNALS])
+    return bound(filled(text), lambda t: bound(folded(t), lambda low: score(t, low)))
 
 
 def cover(text: Column) -> Column:
@@ -115,15 +116,14 @@ def _first_of(cases: list[tuple[Column, object]], other: Column) -> Column:
 def class_route(case_class: Column, subject: Column) -> Column:
     """The prompt of a case class by the first pattern found in class and subject."""
     t = F.concat(filled(case_class), F.lit(" "), filled(subject))
-    return _first_of([(hits(t, p, f), k) for p, f, k in V.CLASS_ROUTES], F.lit("outros"))
+    return bound(t, lambda t: _first_of([(hits(t, p, f), k) for p, f, k in V.CLASS_ROUTES], F.lit("outros")))
 
 
 def class_code(case_class: Column) -> Column:
     """The code of a case class: its first name that holds the class or is held by it; a blank is TCO."""
-    c = strip(filled(case_class))
-    low = F.lower(c)
-    cases = [(low.contains(n.lower()) | F.lit(n.lower()).contains(low), code) for code, names in V.CASE_CLASSES for n in names]
-    return _first_of(cases, c)
+    names = [(n.lower(), code) for code, names in V.CASE_CLASSES for n in names]
+    found = lambda low, c: _first_of([(low.contains(n) | F.lit(n).contains(low), code) for n, code in names], c)
+    return bound(strip(filled(case_class)), lambda c: bound(F.lower(c), lambda low: found(low, c)))
 
 
 def accepted_class(case_class: Column, wanted: list[str]) -> Column:
@@ -132,8 +132,7 @@ def accepted_class(case_class: Column, wanted: list[str]) -> Column:
         return F.lit(True)
     known = {code.upper(): [n.lower() for n in names] for code, names in V.CASE_CLASSES}
     names = [n for w in wanted for n in known.get(w.upper().strip(), [w.lower()])]
-    low = F.lower(strip(filled(case_class)))
-    return reduce(lambda a, b: a | b, [low.contains(n) | F.lit(n).contains(low) for n in names])
+    return bound(F.lower(strip(filled(case_class))), lambda low: reduce(lambda a, b: a | b, [low.contains(n) | F.lit(n).contains(low) for n in names]))
 
 
 def parse_filter(given: str | list[str] | None) -> list[str]:
@@ -152,30 +151,42 @@ def piece_label(label: Column) -> Column:
 
 def measures(text: Column) -> Column:
     """struct of a flag for each measure, outras, and trechos: 80 characters around each first hit."""
-    text = filled(text)
-    flags = [hits(text, p, f) for _, p, f in V.MEASURES]
+    return bound(filled(text), lambda t: bound(folded(t), lambda low: bound(F.array(*[hits_in(t, low, p, f) for _, p, f in V.MEASURES]), lambda flags: _measures(t, low, flags))))
+
+
+def _measures(text: Column, low: Column, flags: Column) -> Column:
     snippets = []
-    for (name, p, f), flag in zip(V.MEASURES, flags):
-        m = F.regexp_extract(text, f"(?uUd{f})" + p, 0)
-        at = F.regexp_instr(text, F.lit(f"(?uUd{f})" + p))
+    for k, (name, p, f) in enumerate(V.MEASURES):
+        m = F.regexp_extract(text, java(p, f), 0)
+        at = F.regexp_instr(text, F.lit(java(p, f)))
         begin = F.greatest(F.lit(1), at - 80)
-        snippets.append(F.when(flag, F.struct(F.lit(name).alias("cautelar"), strip(F.substring(text, begin, at + F.length(m) + 80 - begin)).alias("trecho"))))
-    none = reduce(lambda a, b: a & b, [~x for x in flags])
+        snippets.append(F.when(flags[k], F.struct(F.lit(name).alias("cautelar"), strip(F.substring(text, begin, at + F.length(m) + 80 - begin)).alias("trecho"))))
     return F.struct(
-        *[x.alias(n) for (n, _, _), x in zip(V.MEASURES, flags)],
-        (none & hits(text, r"art(?:igo|\.|º)?\s*319", "i")).alias("outras"),
+        *[flags[k].alias(n) for k, (n, _, _) in enumerate(V.MEASURES)],
+        (~F.array_contains(flags, True) & hits_in(text, low, r"art(?:igo|\.|º)?\s*319", "i")).alias("outras"),
         F.filter(F.array(*snippets), lambda s: s.isNotNull()).alias("trechos"),
     )
 
 
+def folded_act(act: Column) -> Column:
+    """An act as its executor and ease look at it."""
+    return F.lower(strip(filled(act)))
+
+
+def executor_of(low: Column) -> Column:
+    return _first_of([(low.contains(k), who) for who, keys in V.EXECUTORS for k in keys], F.lit("Verificar"))
+
+
+def ease_of(low: Column) -> Column:
+    return _first_of([(low.contains(k), n) for k, n in V.EASE], F.lit(3))
+
+
 def executor(act: Column) -> Column:
-    t = F.lower(strip(filled(act)))
-    return _first_of([(t.contains(k), who) for who, keys in V.EXECUTORS for k in keys], F.lit("Verificar"))
+    return bound(folded_act(act), executor_of)
 
 
 def ease(act: Column) -> Column:
-    t = F.lower(strip(filled(act)))
-    return _first_of([(t.contains(k), n) for k, n in V.EASE], F.lit(3))
+    return bound(folded_act(act), ease_of)
 
 
 def signal_hit(text: Column, signal: str, flags: str | None = None) -> Column:

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .classify import ease, executor
+from .classify import ease_of, executor_of, folded_act
+from .regex import bound
 from .text import filled
 
 # Subjects, weights and thresholds.
@@ -53,15 +54,16 @@ def boosted(points: Column, how_easy: Column) -> Column:
 
 
 def priority(risk: Column, days: Column, act: Column, in_custody: Column, crime: Column) -> Column:
-    """struct of the scores, ease, goal and executor."""
-    points = impact(risk, days, in_custody, crime)
-    return F.struct(
-        boosted(points, ease(act)).alias("score_prioridade"),
-        points.alias("score_impacto"),
-        ease(act).alias("facilidade_ato"),
+    """struct of the scores, ease, goal and executor; the act, its ease and the points are worked out once."""
+    told = lambda x: F.struct(
+        boosted(x["points"], x["ease"]).alias("score_prioridade"),
+        x["points"].alias("score_impacto"),
+        x["ease"].alias("facilidade_ato"),
         goal(risk, days, in_custody).alias("meta_principal"),
-        executor(act).alias("executor"),
+        x["executor"].alias("executor"),
     )
+    points = impact(risk, days, in_custody, crime).alias("points")
+    return bound(folded_act(act), lambda low: bound(F.struct(points, ease_of(low).alias("ease"), executor_of(low).alias("executor")), told))
 
 
 def fallback_priority(risk: Column, days: Column, stored_ease: Column, in_custody: Column, crime: Column) -> Column:

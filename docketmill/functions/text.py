@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .regex import every, first, hits, squeeze, strip, sub
+from .regex import bound, every, first, folded, hits, java, literals, squeeze, strip, sub
 
 
 def filled(text: Column) -> Column:
@@ -25,6 +25,16 @@ def _tidied(text: Column) -> Column:
     return strip(sub(text, r"\n\|[\s|]*\|\n", "", "\n"))
 
 
+def _rules() -> Column:
+    """The ordered cleaning rules: name, pattern, and strings of which a match needs one (any, where none is known)."""
+    rows = [F.struct(F.lit(n).alias("name"), F.lit(java(p, f)).alias("pattern"), F.array(*map(F.lit, literals(p) or ("",))).alias("needs")) for n, p, f in V.CLEANING_RULES]
+    return F.array(*rows)
+
+
+def _without(text: Column, low: Column, rule: Column) -> Column:
+    return F.when(F.exists(rule["needs"], lambda n: low.contains(n)), F.regexp_replace(text, rule["pattern"], F.lit(""))).otherwise(text)
+
+
 def clean_text(text: Column) -> Column:
     """Delete institutional clutter by the ordered rules, then tidy blank lines and ends."""
     return _tidied(reduce(lambda t, rule: sub(t, rule[1], rule[2], ""), V.CLEANING_RULES, filled(text)))
@@ -32,17 +42,20 @@ def clean_text(text: Column) -> Column:
 
 def removal_log(text: Column) -> Column:
     """array<struct<rule, snippet, start>>: what each rule deletes from what the rules before it left."""
-    logs, t = [], filled(text)
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<rule:string,snippet:string,start:int>>").alias("out"))
-    for name, pattern, flags in V.CLEANING_RULES:
+    none = F.array().cast("array<struct<rule:string,snippet:string,start:int>>")
+
+    def found(t: Column, rule: Column) -> Column:
         def step(acc: Column, m: Column) -> Column:
             at = F.call_function("locate", m, t, acc["at"])
-            entry = F.struct(F.lit(name).alias("rule"), F.substring(m, 1, 120).alias("snippet"), (at - 1).cast("int").alias("start"))
+            entry = F.struct(rule["name"].alias("rule"), F.substring(m, 1, 120).alias("snippet"), (at - 1).cast("int").alias("start"))
             return F.struct((at + F.greatest(F.length(m), F.lit(1))).alias("at"), F.concat(acc["out"], F.array(entry)).alias("out"))
 
-        logs.append(F.aggregate(every(t, pattern, flags, 0), start, step)["out"])  # built before t moves on
-        t = sub(t, pattern, flags, "")
-    return F.concat(*logs)
+        return F.aggregate(F.regexp_extract_all(t, rule["pattern"], F.lit(0)), F.struct(F.lit(1).alias("at"), none.alias("out")), step)["out"]
+
+    def walk(held: Column, rule: Column) -> Column:
+        return F.struct(_without(held["t"], folded(held["t"]), rule).alias("t"), F.concat(held["out"], found(held["t"], rule)).alias("out"))
+
+    return F.aggregate(_rules(), F.struct(filled(text).alias("t"), none.alias("out")), walk)["out"]
 
 
 def doc_id(text: Column) -> Column:
