@@ -92,3 +92,23 @@ def ease_text(value: Column) -> Column:
     text = value.cast("string")
     number = F.when(text.rlike(r"^\d+$"), text.try_cast("int")).otherwise(3)
     return F.coalesce(_lookup(number, names, None), text)
+
+
+# Years after which a penalty of up to so many years lapses, by the maximum penalty.
+LIMITATION = [(12, 20), (8, 16), (4, 12), (2, 8), (1, 4)]
+SHORTEST_LIMITATION = 3
+
+
+def limitation_years(maximum_penalty: Column) -> Column:
+    """Years of limitation of a crime by its maximum penalty in years; null without one."""
+    return F.when(maximum_penalty.isNotNull(), _steps(maximum_penalty, LIMITATION, SHORTEST_LIMITATION))
+
+
+def workers(sizes: list[int], hint: int = 0, cpus: int = 4) -> int:
+    """Extraction workers for files of these bytes: the hint up to 16, else by mean size and half the processors."""
+    if hint > 0:
+        return max(1, min(hint, 16, len(sizes)))
+    if not sizes:
+        return 1
+    mean = sum(sizes) / len(sizes) / 2**20
+    return max(1, min(cpus // 2, 2 if mean > 50 else 3 if mean > 20 else 4, len(sizes)))

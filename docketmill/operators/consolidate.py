@@ -80,6 +80,25 @@ def level_counts(enriched: DataFrame) -> DataFrame:
     return enriched.groupBy("nivel_prioridade").agg(F.count("*").alias("n"))
 
 
+def executor_counts(enriched: DataFrame) -> DataFrame:
+    return enriched.groupBy("executor").agg(F.count("*").alias("n"))
+
+
+def goal_counts(enriched: DataFrame) -> DataFrame:
+    return enriched.groupBy("meta_principal").agg(F.count("*").alias("n"))
+
+
+def risk_counts(enriched: DataFrame) -> DataFrame:
+    """One row: cases whose limitation has passed, is near or needs a look, and cases in custody."""
+    risk = lambda r: F.count_if(F.col("risco_prescricao") == r)
+    return enriched.agg(risk("PRESCRITO").alias("prescritos"), risk("IMINENTE").alias("iminentes"), risk("ATENCAO").alias("atencao"), F.count_if(scoring.parsed_flag(F.col("reu_preso"))).alias("presos"))
+
+
+def file_count(files: DataFrame) -> DataFrame:
+    """One row: how many files a listing (path) has."""
+    return files.agg(F.count("path").alias("arquivos"))
+
+
 def size_buckets(groups: DataFrame, size: str = "n_processos") -> DataFrame:
     n = F.col(size)
     return groups.agg(F.count_if(n <= 3).alias("pequenos"), F.count_if((n >= 4) & (n <= 5)).alias("medios"), F.count_if(n >= 6).alias("grandes"))

@@ -22,19 +22,21 @@ def global_rank(df: DataFrame, order: list[Column], within: list[str] | None = N
     """
     within = within or []
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = {c.lower() for c in df.columns}
+    part, at, nth, size, base = (next(c for c in (stem + "_" * k for k in range(99)) if c not in taken) for stem in ("_p", "_i", "_r", "_n", "_before"))
     sorted_ = df.repartitionByRange(n, *within, *order).sortWithinPartitions(*within, *order)
     # Written once: a second evaluation could draw other range bounds.
-    placed = durable(sorted_.withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id()))
-    local = placed.withColumn("_r", F.row_number().over(Window.partitionBy("_p", *within).orderBy("_i")))
-    sizes = placed.groupBy("_p", *within).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*within).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = durable(sorted_.withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()))
+    local = placed.withColumn(nth, F.row_number().over(Window.partitionBy(part, *within).orderBy(at)))
+    sizes = placed.groupBy(part, *within).agg(F.count("*").alias(size))
+    before = Window.partitionBy(*within).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn(base, F.coalesce(F.sum(size).over(before), F.lit(0))).drop(size)
     cond = None
     a, b = local.alias("a"), sizes.alias("b")
-    for c in ["_p", *within]:
+    for c in [part, *within]:
         term = F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
         cond = term if cond is None else cond & term
-    return a.join(b, cond).select(*[F.col(f"a.{c}") for c in df.columns], (F.col("a._r") + F.col("b._before")).alias(name))
+    return a.join(b, cond).select(*[F.col(f"a.{c}") for c in df.columns], (F.col(f"a.{nth}") + F.col(f"b.{base}")).alias(name))
 
 
 def enrich_cases(cases: DataFrame, texts: DataFrame, done: DataFrame) -> DataFrame:
@@ -182,3 +184,45 @@ def checkpoint_state(log: DataFrame) -> dict[str, DataFrame]:
 def sessions(log: DataFrame) -> DataFrame:
     """Sessions (inicio, fim) with minutes; whole days do not count, as in the reference format."""
     return log.withColumn("minutos", F.floor(F.pmod(F.unix_timestamp("fim") - F.unix_timestamp("inicio"), F.lit(86400)) / 60).cast("int"))
+
+
+def mark_done(spark, cmd: int, items: list[str], result: str, when: str) -> DataFrame:
+    """Rows for the append-only log of checkpoint_state(): a command, by hand or by a run, with its items.
+
+    A command without items is one row with a null item; a partial one lists the items that are done."""
+    rows = [(cmd, i, when, result) for i in items] or [(cmd, None, when, result)]
+    return spark.createDataFrame(rows, "cmd long, item string, data string, arquivo string")
+
+
+def command_lists(commands: DataFrame, log: DataFrame) -> DataFrame:
+    """Per command (cmd, item): total, done, and whether it is concluded or partial by the log."""
+    done = log.select("item").distinct().withColumn("_d", F.lit(1))
+    got = commands.join(done, "item", "left").groupBy("cmd").agg(F.count("*").alias("total"), F.count("_d").alias("done"))
+    return got.withColumns({"concluido": F.col("done") == F.col("total"), "parcial": (F.col("done") > 0) & (F.col("done") < F.col("total"))})
+
+
+def _place(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def reset_queue(spark, paths: list[str]) -> list[str]:
+    """Delete the queue's and checkpoint's tables; returns those that were there. Results and control stay."""
+    gone = []
+    for path in paths:
+        place, store = _place(spark, path)
+        if store.exists(place) and store.delete(place, True):
+            gone.append(path)
+    return gone
+
+
+def reset_control(spark, path: str, stamp: str, confirmed: bool = False) -> str | None:
+    """Set the control table aside under a name with the stamp; returns that name. Nothing without confirmation or table."""
+    place, store = _place(spark, path)
+    if not confirmed or not store.exists(place):
+        return None
+    stem, dot, extension = path.rstrip("/").rpartition(".") if "." in path.rstrip("/").rsplit("/", 1)[-1] else (path.rstrip("/"), "", "")
+    backup = f"{stem}.bkp_{stamp}{dot}{extension}"
+    if not store.rename(place, _place(spark, backup)[0]):
+        raise OSError(f"cannot set {path} aside")
+    return backup

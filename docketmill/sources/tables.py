@@ -17,6 +17,37 @@ def exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def json_or_default(spark: SparkSession, path: str, schema: str, default: DataFrame | None = None) -> DataFrame:
+    """The rows of a JSON file; where it is missing or broken the default, an empty table if there is none."""
+    kind = T.StructType.fromDDL(schema)
+    if exists(spark, path):
+        held = spark.read.text(path, wholetext=True).select(F.from_json("value", T.ArrayType(kind)).alias("r"))
+        if held.filter("r IS NOT NULL").take(1):
+            return held.select(F.explode("r").alias("r")).select("r.*")
+    return spark.createDataFrame([], kind) if default is None else default
+
+
+def broken_json(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
+    """file: the JSON files of a folder that cannot be parsed."""
+    if not exists(spark, f"{folder.rstrip('/')}/{pattern}"):
+        return spark.createDataFrame([], "file string")
+    rows = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern).withColumn("file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+    return rows.filter(F.expr("try_parse_json(value)").isNull()).select("file")
+
+
+# The prompt files of the class codes.
+PROMPT_FILES = {c: f"prompt_{c}.md" for c in ("APOrd", "APSum", "APSumss", "IP", "Juri", "TCO", "outros")}
+
+
+def prompts(spark: SparkSession, folder: str) -> DataFrame:
+    """chave and prompt for every class code; empty text where its file is missing."""
+    keys = spark.createDataFrame(list(PROMPT_FILES.items()), "chave string, _file string")
+    if not exists(spark, f"{folder.rstrip('/')}/prompt_*.md"):
+        return keys.select("chave", F.lit("").alias("prompt"))
+    texts = spark.read.text(f"{folder.rstrip('/')}/prompt_*.md", wholetext=True).select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("_file"), F.col("value").alias("_text"))
+    return keys.join(texts, "_file", "left").select("chave", F.coalesce("_text", F.lit("")).alias("prompt"))
+
+
 def files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
     """Files of a folder: path, length, modificationTime, content. A missing folder has none."""
     schema = "path string, modificationTime timestamp, length long, content binary"
@@ -32,8 +63,19 @@ def text_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _positions(df: DataFrame) -> DataFrame:
-    """pos: the order of rows in a file read in one piece of its order."""
-    return df.withColumn("pos", F.monotonically_increasing_id())
+    """pos: the order of rows by file name, and in a file by their place in it.
+
+    Ids rise with the partitions, which Spark orders by size; so a file's rank among the names goes in front
+    (a few thousand names at most, 2^20, then 2^43 rows a file)."""
+    spark, names = df.sparkSession, sorted(df.inputFiles())
+    if len(names) < 2:
+        return df.withColumn("pos", F.monotonically_increasing_id())
+    ranks = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "_name string, _rank long")
+    own = df.withColumn("_name", F.col("_metadata.file_path")).withColumn("_at", F.monotonically_increasing_id())
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    ranks = ranks.withColumn("_name", plain("_name"))
+    joined = own.withColumn("_name", plain("_name")).join(F.broadcast(ranks), "_name", "left")
+    return joined.withColumn("pos", F.coalesce("_rank", F.lit(0)) * F.lit(1 << 43) + F.col("_at") % F.lit(1 << 43)).drop("_name", "_rank", "_at")
 
 
 def case_table(spark: SparkSession, path: str, key: str = "Número do Processo") -> DataFrame:

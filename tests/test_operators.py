@@ -221,3 +221,117 @@ def test_parse_filter(given, want):
     from docketmill.functions.classify import parse_filter
 
     assert parse_filter(given) == want
+
+
+def test_image_steps():
+    import numpy as np
+
+    from docketmill.sources import pages
+
+    assert (pages.binarize(np.full((4, 4), 50)) == 0).all() and (pages.binarize(np.full((4, 4), 138)) == 255).all()
+    assert pages.best_reading(pages.MODES, lambda m: f"junk{m}", lambda t: -0.3) == ""
+    assert pages.best_reading((3, 6, 4), str, lambda t: {"3": 0.5, "6": 0.5, "4": 0.2}[t]) == "3"
+    image = np.full((200, 300), 255, np.uint8)
+    y, x = np.mgrid[:200, :300]
+    tilt = np.radians(5)
+    image[(np.abs((y - 100) * np.cos(tilt) - (x - 150) * np.sin(tilt)) < 20) & (np.abs((x - 150) * np.cos(tilt) + (y - 100) * np.sin(tilt)) < 100)] = 0
+    assert abs(pages.skew_angle(image) - 5) < 0.6
+    assert pages.skew_angle(pages.deskew(image)) == 0.0 and (pages.deskew(image) == 0).sum() > 7000
+    cache, made = pages.PageCache(4), []
+    for k in [1, 2, 3, 4, 1, 5, 1, 4]:
+        cache.read(str(k), lambda k=k: made.append(k) or str(k))
+    assert made == [1, 2, 3, 4, 5, 1]
+
+
+def test_log_reset_and_defaults(spark, tmp_path):
+    from docketmill.functions import scoring
+    from docketmill.operators import queues
+    from docketmill.sources import tables
+
+    log = queues.mark_done(spark, 3, ["a", "b"], "r", "2024-01-01").unionByName(queues.mark_done(spark, 4, [], "r", "2024-01-02"))
+    state = queues.checkpoint_state(log)
+    assert sorted(r.cmd for r in state["comandos_concluidos"].collect()) == [3, 4] and state["ultimo_comando"].first()[0] == 4
+    commands = spark.createDataFrame([(3, "a"), (3, "b"), (5, "b"), (5, "c"), (6, "d")], "cmd long, item string")
+    got = {r.cmd: (r.total, r.done, r.concluido, r.parcial) for r in queues.command_lists(commands, log).collect()}
+    assert got == {3: (2, 2, True, False), 5: (2, 1, False, True), 6: (1, 0, False, False)}
+    control = tmp_path / "controle_grupos.json"
+    control.write_text('[{"a": 1}]')
+    assert [r.a for r in tables.json_or_default(spark, str(control), "a int").collect()] == [1]
+    assert queues.reset_control(spark, str(control), "20240101_000000") is None and control.exists()
+    assert queues.reset_control(spark, str(control), "20240101_000000", True).endswith("controle_grupos.bkp_20240101_000000.json")
+    assert not control.exists() and len(list(tmp_path.glob("*bkp*.json"))) == 1
+    default = spark.createDataFrame([(7,)], "a int")
+    assert [r.a for r in tables.json_or_default(spark, str(control), "a int", default).collect()] == [7]
+    (tmp_path / "broken.json").write_text("{nothing")
+    assert [r.file for r in tables.broken_json(spark, str(tmp_path)).collect()] == ["broken.json"]
+    assert tables.json_or_default(spark, str(tmp_path / "broken.json"), "a int").count() == 0
+    (tmp_path / "queue").mkdir()
+    assert queues.reset_queue(spark, [str(tmp_path / "queue"), str(tmp_path / "none")]) == [str(tmp_path / "queue")]
+    (tmp_path / "prompt_IP.md").write_text("text of IP")
+    assert {r.chave: r.prompt for r in tables.prompts(spark, str(tmp_path)).collect()}["IP"] == "text of IP"
+    assert tables.prompts(spark, str(tmp_path / "none")).filter("prompt = ''").count() == 7
+    years = spark.createDataFrame([(x,) for x in (0.5, 1.0, 2.0, 3.9, 4.0, 8.0, 12.0, None)], "m double").select(scoring.limitation_years("m" and __import__("pyspark.sql.functions", fromlist=["col"]).col("m")).alias("y"))
+    assert [r.y for r in years.collect()] == [3, 4, 8, 8, 12, 16, 20, None]
+    assert [scoring.workers(s, h, 8) for s, h in (([], 0), ([1] * 9, 0), ([60 << 20] * 3, 0), ([30 << 20] * 9, 0), ([1] * 40, 20), ([1] * 2, 9))] == [1, 4, 2, 3, 16, 2]
+
+
+def test_first_wins_follows_file_names(spark, tmp_path):
+    from docketmill.sources import tables
+
+    (tmp_path / "b.csv").write_text("Número do Processo,v\nk,from b\n" + "x,y\n" * 5000)
+    (tmp_path / "a.csv").write_text("Número do Processo,v\nk,from a\nk,second\n")
+    rows = tables.case_table(spark, str(tmp_path))
+    assert [r.v for r in rows.collect() if r[0] == "k"] == ["from a"]
+
+
+def test_readers_and_small_plans(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from docketmill.functions import classify, quality, scoring, text as T
+    from docketmill.operators import consolidate, linkage, queues
+    from docketmill.sources import sinks, tables
+
+    (tmp_path / "0001_x.txt").write_text("t")
+    (tmp_path / "0002_y.md").write_text("t")
+    (tmp_path / "c.pdf").write_bytes(b"%PDF")
+    (tmp_path / "a.pdf").write_bytes(b"%PDF")
+    assert sorted(r.stem for r in tables.text_inventory(spark, str(tmp_path)).collect()) == ["0001_x", "0002_y"]
+    assert sorted(r.path.rsplit("/", 1)[-1] for r in tables.files(spark, str(tmp_path)).collect()) == ["a.pdf", "c.pdf"]
+    assert tables.files(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "reg.csv").write_text("idProcesso;numeroProcesso;classeJudicial;poloPassivo;assuntoPrincipal\n1; 22 ;c; Ana ;s\n2;33;c;;s\n")
+    assert [tuple(r)[1:] for r in tables.registry_table(spark, str(tmp_path / "reg.csv")).collect()] == [("1", "22", "c", "Ana", "s")]
+    one, two = tmp_path / "u1.csv", tmp_path / "u2.csv"
+    one.write_text("a,b\n2,x\n")
+    two.write_text("a\n1\n")
+    assert [tuple(r) for r in tables.csv_union(spark, [str(one), str(two)], "a").collect()] == [("1", None, "u2.csv"), ("2", "x", "u1.csv")]
+    control = tmp_path / "controle.json"
+    control.write_text('{"processos": {"p": {"numero": "9", "tipo": "t"}}}')
+    (tmp_path / "res").mkdir()
+    (tmp_path / "res" / "r.json").write_text('{"numero": "8", "tipo": "f"}')
+    given = lambda path: [tuple(r) for r in tables.control_or_files(spark, path, str(tmp_path / "res"), "numero string, tipo string", "*.json").collect()]
+    assert given(str(control)) == [("9", "t")] and given(str(tmp_path / "none.json")) == [("8", "f")]
+    ranked = spark.createDataFrame([("1", 5, "z"), ("2", 9, "y")], "numero string, score_prioridade int, outra string")
+    sinks.write_ranked_csv(ranked, str(tmp_path / "out"))
+    back = spark.read.csv(str(tmp_path / "out"), header=True)
+    assert back.columns == ["numero", "score_prioridade"] and back.count() == 2
+    links = spark.createDataFrame([(1, "p", "a"), (2, "p", "b"), (3, "", "c")], "idx int, papel_processo string, v string")
+    assert ['"b"' in r.json for r in sinks.link_json(links).collect()] == [True]
+    files = spark.createDataFrame([("a",), ("b",)], "path string")
+    assert consolidate.file_count(files).first()[0] == 2 and consolidate.file_count(files.limit(0)).first()[0] == 0
+    groups = spark.createDataFrame([(["1-2.3", "4-5.6"],)], "processos array<string>")
+    stems = spark.createDataFrame([("1_2_3",)], "stem string")
+    assert tuple(consolidate.coverage(groups, stems).first()) == (2, 1)
+    text = spark.createDataFrame([("Vistos, etc.\nJULGO PROCEDENTE o pedido do autor\nfim",)], "t string")
+    assert "PROCEDENTE" in text.select(T.decision_snippet(F.col("t"))).first()[0]
+    assert text.select(classify.signal_hit(F.col("t"), "julgo"), classify.signal_hit(F.col("t"), r"^fim$", "m"), classify.signal_hit(F.col("t"), "nada")).first()[:] == (True, True, False)
+    ratio = spark.createDataFrame([("x" * 100, "x" * 40), ("", "")], "a string, b string").select(quality.result_ratios(F.col("a"), F.col("b")).alias("r")).collect()
+    assert [(r.r.tokens, round(r.r.reduction)) for r in ratio] == [(10, 60), (0, 0)]
+    notice = spark.createDataFrame([("limit resets 3:30pm (America/Bahia)",), ("none",)], "t string").select(T.rate_limit(F.col("t")).alias("n"), T.wait_seconds(T.rate_limit(F.col("t")), F.lit("2024-01-01 15:00:00").cast("timestamp")).alias("w")).collect()
+    assert (notice[0].n.hour, notice[0].n.minute, notice[0].w, notice[1].n) == (3, 30, 1800, None)
+    log = spark.createDataFrame([("2024-01-01 10:00:00", "2024-01-01 11:30:00")], "inicio string, fim string").select(F.col("inicio").cast("timestamp").alias("inicio"), F.col("fim").cast("timestamp").alias("fim"))
+    assert queues.sessions(log).first().minutos == 90
+    found = spark.createDataFrame([("g", [("1", "why"), ("2", "so")])], "group_id string, processos_distintos array<struct<numero:string,justificativa:string>>")
+    assert [tuple(r) for r in consolidate.distinct_rows(found).collect()] == [("g", "1", "why"), ("g", "2", "so")]
+    commands = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "cmd int, item string")
+    done = {r.cmd: r.complete for r in queues.loosely_complete(commands, commands.filter("cmd = 9"), commands.filter("item = 'b'").select("item"), "cmd", "item").collect()}
+    assert done == {1: True, 2: False}
