@@ -117,6 +117,32 @@ def level_counts(spark, sf_dir):
     return consolidate.level_counts(consolidate.enrich(triage(spark, sf_dir)))
 
 
+@query("executor_counts", f"SELECT CASE WHEN k % 3 = 0 THEN 'Juiz' ELSE {EXECUTOR_SQL} END AS executor, count(*) AS n FROM {CASES_SQL} GROUP BY 1")
+def executor_counts(spark, sf_dir):
+    return consolidate.executor_counts(consolidate.enrich(triage(spark, sf_dir)))
+
+
+@query("goal_counts", f"SELECT {GOAL_SQL} AS meta_principal, count(*) AS n FROM {CASES_SQL} GROUP BY 1")
+def goal_counts(spark, sf_dir):
+    return consolidate.goal_counts(consolidate.enrich(triage(spark, sf_dir)))
+
+
+@query("risk_counts", f"SELECT count(*) FILTER (risco = 'PRESCRITO') AS prescritos, count(*) FILTER (risco = 'IMINENTE') AS iminentes, count(*) FILTER (risco = 'ATENCAO') AS atencao, count(*) FILTER (preso) AS presos FROM {CASES_SQL}")
+def risk_counts(spark, sf_dir):
+    return consolidate.risk_counts(consolidate.enrich(triage(spark, sf_dir)))
+
+
+@query("display_names", f"SELECT k, CASE WHEN preso THEN 'SIM' ELSE 'NÃO' END AS reu_preso, CASE facil WHEN 5 THEN '5-Trivial' WHEN 4 THEN '4-Simples' WHEN 3 THEN '3-Médio' WHEN 2 THEN '2-Complexo' WHEN 1 THEN '1-Pesado' ELSE CAST(facil AS VARCHAR) END AS facilidade FROM {CASES_SQL}")
+def display_names(spark, sf_dir):
+    return cases(spark, sf_dir).select("k", scoring.custody_text(F.col("preso")).alias("reu_preso"), scoring.ease_text(F.col("facil")).alias("facilidade"))
+
+
+@query("limitation_terms", "SELECT k, CASE WHEN m >= 12 THEN 20 WHEN m >= 8 THEN 16 WHEN m >= 4 THEN 12 WHEN m >= 2 THEN 8 WHEN m >= 1 THEN 4 ELSE 3 END AS anos FROM (SELECT l_orderkey * 10 + l_linenumber AS k, l_quantity / 3.0 AS m FROM lineitem)")
+def limitation_terms(spark, sf_dir):
+    rows = read(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 10 + l_linenumber AS k", "l_quantity / 3.0D AS m")
+    return rows.select("k", scoring.limitation_years(F.col("m")).alias("anos"))
+
+
 @query("class_code", "SELECT k, CASE " + " ".join(f"WHEN contains(lower(trim(classe)), '{n.lower()}') OR contains('{n.lower()}', lower(trim(classe))) THEN '{code}'" for code, names in V.CASE_CLASSES for n in names) + f" ELSE trim(classe) END AS codigo FROM {CASES_SQL}")
 def class_code(spark, sf_dir):
     return cases(spark, sf_dir).select("k", classify.class_code(F.col("classe")).alias("codigo"))
@@ -266,6 +292,32 @@ def checkpoint_items(spark, sf_dir):
     return queues.checkpoint_state(log)["processos_analisados"].select("item", "arquivo")
 
 
+@query("checkpoint_commands", "SELECT DISTINCT event_id % 977 AS cmd, max(event_id % 977) OVER () AS ultimo FROM events")
+def checkpoint_commands(spark, sf_dir):
+    log = read(spark, sf_dir, "events").select((F.col("event_id") % 977).alias("cmd"), F.col("user_id").alias("item"), F.col("ts").alias("data"), F.col("event_type").alias("arquivo"))
+    state = queues.checkpoint_state(log)
+    return state["comandos_concluidos"].join(F.broadcast(state["ultimo_comando"])).select("cmd", F.col("ultimo_comando").alias("ultimo"))  # one row
+
+
+@query("command_lists", """SELECT l_orderkey AS cmd, count(*) AS total, count(*) FILTER (d) AS done, bool_and(d) AS concluido, bool_or(d) AND NOT bool_and(d) AS parcial
+FROM (SELECT l_orderkey, l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 25) AS d FROM lineitem) GROUP BY 1""")
+def command_lists(spark, sf_dir):
+    commands = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("cmd"), F.col("l_partkey").alias("item"))
+    return queues.command_lists(commands, read(spark, sf_dir, "part").filter("p_size < 25").select(F.col("p_partkey").alias("item")))
+
+
+@query("sessions", "SELECT event_id AS k, CAST(floor((epoch(fim) - epoch(ts)) % 86400 / 60) AS INT) AS minutos FROM (SELECT event_id, ts, ts + INTERVAL 1 SECOND * CAST(event_id % 100000 AS BIGINT) AS fim FROM events)")
+def sessions(spark, sf_dir):
+    rows = read(spark, sf_dir, "events").select(F.col("event_id").alias("k"), F.col("ts").alias("inicio"), F.expr("ts + make_dt_interval(0, 0, 0, CAST(event_id % 100000 AS DECIMAL(18, 6)))").alias("fim"))
+    return queues.sessions(rows).select("k", "minutos")
+
+
+@query("loose_completion", """SELECT l_orderkey AS cmd, l_orderkey % 5 = 0 OR bool_or(l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 7)) AS complete FROM lineitem GROUP BY 1""")
+def loose_completion(spark, sf_dir):
+    commands = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("cmd"), F.col("l_partkey").alias("item"))
+    return queues.loosely_complete(commands, commands.filter("cmd % 5 = 0"), read(spark, sf_dir, "part").filter("p_size = 7").select(F.col("p_partkey").alias("item")), "cmd", "item")
+
+
 PAIR_GROUPS = "SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p FROM lineitem GROUP BY 1"
 
 
@@ -367,28 +419,49 @@ def texts(spark, sf_dir) -> DataFrame:
     return read(spark, sf_dir, "orders").selectExpr(*TEXTS)
 
 
-def _score_sql(least: int, signals) -> str:
-    total = " + ".join(f"CASE WHEN {matches('t', p, f)} THEN CASE WHEN {matches('left(t, 400)', p, f)} THEN {2 * w} ELSE {w} END ELSE 0 END" for p, f, w in signals)
-    return f"(SELECT CASE WHEN s >= {least} THEN s ELSE 0 END FROM (SELECT {total} AS s))"
+def classify_sql(source: str, key: str, text: str) -> str:
+    """The windowed classifier: windows, scores of each, sums over them, ranks, confidence."""
+
+    def weight(p: str, f: str, w: int) -> str:
+        return f"CASE WHEN {matches('w', p, f)} THEN CASE WHEN bonus AND {matches('left(w, 400)', p, f)} THEN {2 * w} ELSE {w} END ELSE 0 END"
+
+    totals = ", ".join("(" + " + ".join(weight(p, f, w) for p, f, w in signals) + ")" for _, _, signals in V.PIECE_RULES)
+    return f"""WITH d AS (SELECT {key} AS id, coalesce({text}, '') AS t, length(coalesce({text}, '')) > 3000 AS wide FROM {source}),
+p AS (SELECT id, wide, CAST(i AS INT) AS i, substr(t, CAST(i * 1500 + 1 AS BIGINT), 3000) AS w, i = 0 AS bonus FROM (SELECT *, unnest(CASE WHEN wide THEN range(0, CAST(ceil((length(t) - 3000) / 1500) AS BIGINT) + 1) ELSE [0] END) AS i FROM d)
+UNION ALL SELECT id, wide, -1, substr(t, 1, 6000), true FROM d WHERE wide),
+v AS (SELECT id, wide, i, [{totals}] AS v FROM p),
+e AS (SELECT id, wide, i, unnest(v) AS s, unnest(range(1, len(v) + 1)) AS r, unnest([{', '.join(str(least) for _, least, _ in V.PIECE_RULES)}]) AS least FROM v),
+k AS (SELECT id, r, sum(s * CASE WHEN wide AND i = 0 THEN 1.5 ELSE 1.0 END) AS s, min(i) AS f, false AS spare FROM e WHERE i >= 0 AND s >= least GROUP BY id, r
+UNION ALL SELECT id, r, s, 0, true FROM e WHERE i = -1 AND s >= least),
+o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, f, r) AS n FROM k WHERE NOT spare OR id NOT IN (SELECT id FROM k WHERE NOT spare)),
+b AS (SELECT id, max(CASE WHEN n = 1 THEN r END) AS r, CAST(round_even(max(CASE WHEN n = 1 THEN s END), 0) AS INT) AS score, CAST(coalesce(round_even(max(CASE WHEN n = 2 THEN s END), 0), 0) AS INT) AS second FROM o GROUP BY id)
+SELECT d.id AS {key}, CASE WHEN b.id IS NULL THEN 'DOC' ELSE [{', '.join("'" + n + "'" for n, _, _ in V.PIECE_RULES)}][b.r] END AS tipo, coalesce(score, 0) AS score,
+CASE WHEN b.id IS NULL OR score <= 0 THEN 0.0 ELSE round(0.65 * least(score / 30.0, 1.0) + 0.35 * CASE WHEN second <= 0 THEN 1.0 ELSE greatest(0.0, least((score - second) / greatest(score, 1), 1.0)) END, 3) END::DOUBLE AS confianca FROM d LEFT JOIN b ON d.id = b.id"""
 
 
-@query("weighted_classify", "WITH s AS (SELECT k, [" + ", ".join(_score_sql(least, signals) for _, least, signals in V.PIECE_RULES) + f"] AS v FROM {TEXTS_SQL}), "
-    "e AS (SELECT k, unnest(v) AS score, unnest(range(1, len(v) + 1)) AS i FROM s), "
-    "r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, i) AS n FROM e), "
-    "b AS (SELECT a.k, a.score, a.i, b.score AS second FROM r a JOIN r b ON a.k = b.k AND b.n = 2 WHERE a.n = 1) "
-    "SELECT k, CASE WHEN score = 0 THEN 'DOC' ELSE [" + ", ".join(f"'{n}'" for n, _, _ in V.PIECE_RULES) + "][i] END AS tipo, CAST(score AS INT) AS score, "
-    "CASE WHEN score = 0 THEN 0.0 ELSE round(0.65 * least(score / 30.0, 1.0) + 0.35 * CASE WHEN second = 0 THEN 1.0 ELSE (score - second) / score END, 3) END::DOUBLE AS confianca FROM b")
+@query("weighted_classify", classify_sql(TEXTS_SQL, "k", "t"))
 def weighted_classify(spark, sf_dir):
     return texts(spark, sf_dir).select("k", classify.classify(F.col("t")).alias("c")).select("k", "c.*")
 
 
-@query("document_types")
+@query("document_types", classify_sql("documents", "doc_id", "text"))
 def document_types(spark, sf_dir):
     """Every whole document of the table through the windowed classifier."""
     rows = read(spark, sf_dir, "documents").select("doc_id", classify.classify(F.col("text")).alias("c"))
     return rows.select("doc_id", "c.*")
 
 
+LONG_SQL = f"(SELECT o_custkey AS k, string_agg(t, repeat(' texto corrido', 40) ORDER BY o.o_orderkey) AS t FROM {TEXTS_SQL} x JOIN orders o ON x.k = o.o_orderkey GROUP BY o_custkey)"
+
+
+@query("windowed_classify", classify_sql(LONG_SQL, "k", "t"))
+def windowed_classify(spark, sf_dir):
+    """The texts of a customer as one long document: several windows, of which several score."""
+    rows = texts(spark, sf_dir).join(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("k") == F.col("o_orderkey"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "t"))), lambda x: x["t"]), " texto corrido" * 40)
+    return rows.groupBy(F.col("o_custkey").alias("k")).agg(whole.alias("t")).select("k", classify.classify(F.col("t")).alias("c")).select("k", "c.*")
+
+
 @query("text_windows", "SELECT doc_id, CASE WHEN length(text) <= 3000 THEN 1 ELSE CAST(ceil((length(text) - 3000) / 1500) AS INT) + 1 END AS n, length(text) AS tokens FROM documents")
 def text_windows(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.size(classify.windows(F.col("text"))).alias("n"), F.length("text").cast("long").alias("tokens"))
@@ -410,10 +483,23 @@ def clean_text(spark, sf_dir):
     return texts(spark, sf_dir).select("k", T.clean_text(F.col("t")).alias("limpo"))
 
 
-@query("removal_log", f"SELECT k, CAST(len(regexp_extract_all(t, '(?i)https?://\\S+')) AS INT) AS urls FROM {TEXTS_SQL}")
+def _removal_sql() -> str:
+    """A chain of common table expressions, one a rule: what it finds, then what it leaves."""
+    steps, names = [f"r0 AS (SELECT k, t, [] AS o FROM {TEXTS_SQL})"], []
+    for i, (name, p, f) in enumerate(V.CLEANING_RULES):
+        ahead = "(?=" in p
+        found = f"list_transform(regexp_extract_all(t, {lit(re2(p, f))}), lambda m: '{name}:' || left(" + ("rtrim(m, chr(10))" if ahead else "m") + ", 120))"
+        put = "'\\1'" if ahead else "''"
+        steps.append(f"r{i + 1} AS (SELECT k, regexp_replace(t, {lit(re2(p, f))}, {put}, 'g') AS t, o || {found} AS o FROM r{i})")
+        names.append(name)
+    return "WITH " + ",\n".join(steps) + f" SELECT k, CAST(len(o) AS INT) AS n, array_to_string(o, '|') AS achados FROM r{len(names)}"
+
+
+@query("removal_log", _removal_sql())
 def removal_log(spark, sf_dir):
-    log = T.removal_log(F.col("t"))
-    return texts(spark, sf_dir).select("k", F.size(F.filter(log, lambda x: x["rule"] == "url")).alias("urls"))
+    """All rules, with the text that each deletes."""
+    log = texts(spark, sf_dir).select("k", T.removal_log(F.col("t")).alias("log"))
+    return log.select("k", F.size("log").alias("n"), F.array_join(F.transform("log", lambda x: F.concat_ws(":", x["rule"], x["snippet"])), "|").alias("achados"))
 
 
 def _last(arr: str) -> str:
@@ -429,29 +515,50 @@ def doc_id_last(spark, sf_dir):
     return texts(spark, sf_dir).select("k", T.doc_id(F.col("t")).alias("d")).select("k", "d.num", "d.pag")
 
 
-@query("pii_extract", f"""SELECT k, lpad(CAST(k0 AS VARCHAR), 11, '0') AS cpf, '(71) 9' || lpad(CAST(k % 10000 AS VARCHAR), 4, '0') || '-1234' AS fone FROM (SELECT o_orderkey AS k, o_custkey AS k0 FROM orders)""")
+def _first_seen(values: str, most: int) -> str:
+    return f"array_to_string(list_filter({values}, lambda x, i: list_position({values}, x) = i)[1:{most}], ',')"
+
+
+def _all(pattern: tuple[str, str], group: int) -> str:
+    return f"regexp_extract_all(t, {lit(re2(*pattern))}, {group})"
+
+
+_PHONES = f"list_transform(list_filter(list_zip({_all(V.PHONE, 1)}, {_all(V.PHONE, 2)}, {_all(V.PHONE, 3)}), lambda x: x[1] NOT IN ('19', '20')), lambda x: '(' || x[1] || ') ' || replace(x[2], ' ', '') || '-' || x[3])"
+_DATES = f"list_transform(list_zip({_all(V.DATE, 1)}, {_all(V.DATE, 2)}, {_all(V.DATE, 3)}), lambda x: x[1] || '/' || x[2] || '/' || x[3])"
+
+
+@query("pii_extract", f"""SELECT k, {_first_seen('c', 10)} AS cpfs, {_first_seen('r', 5)} AS rgs, {_first_seen('p', 5)} AS telefones, {_first_seen('z', 5)} AS ceps, {_first_seen('d', 15)} AS datas
+FROM (SELECT k, {_all(V.CPF, 1)} AS c, {_all(V.RG, 1)} AS r, {_PHONES} AS p, {_all(V.CEP, 1)} AS z, {_DATES} AS d FROM {TEXTS_SQL})""")
 def pii_extract(spark, sf_dir):
-    d = T.personal_data(F.col("t"))
-    return texts(spark, sf_dir).select("k", d.alias("d")).select("k", F.get("d.cpfs", F.lit(0)).alias("cpf"), F.array_max(F.filter("d.telefones", lambda x: x.endswith("-1234"))).alias("fone"))
+    d = texts(spark, sf_dir).select("k", T.personal_data(F.col("t")).alias("d"))
+    return d.select("k", *[F.array_join(f"d.{c}", ",").alias(c) for c in ("cpfs", "rgs", "telefones", "ceps", "datas")])
 
 
 _MOVED = lit("(\\d{2}/\\d{2}/\\d{4})\\s{1,10}([^\\n]{10,120})")
 
 
-@query("movements", f"SELECT k, coalesce(array_to_string(list_filter(list_transform(list_zip(regexp_extract_all(t, {_MOVED}, 1), regexp_extract_all(t, {_MOVED}, 2)), lambda x: x[1] || ' ' || trim(x[2])), lambda x: starts_with(x, '05/06/2020')), '|'), '') AS mov FROM {TEXTS_SQL}")
+@query("movements", f"SELECT k, coalesce(array_to_string(list_transform(list_zip(regexp_extract_all(t, {_MOVED}, 1), regexp_extract_all(t, {_MOVED}, 2)), lambda x: x[1] || ' ' || trim(x[2])), '|'), '') AS mov FROM {TEXTS_SQL}")
 def movements(spark, sf_dir):
-    m = F.filter(T.movements(F.col("t")), lambda x: x["data"] == "05/06/2020")
+    m = T.movements(F.col("t"))
     return texts(spark, sf_dir).select("k", F.array_join(F.transform(m, lambda x: F.concat_ws(" ", x["data"], x["descricao"])), "|").alias("mov"))
 
 
-@query("measure_flags", "SELECT k, " + ", ".join(f"{matches('t', p, f)} AS {n}" for n, p, f in V.MEASURES) + f" FROM {TEXTS_SQL}")
+def _snippet_sql(name: str, p: str, f: str) -> str:
+    found = f"regexp_extract(t, {lit(re2(p, f))})"
+    at = f"strpos(t, {found})"
+    return f"CASE WHEN {matches('t', p, f)} THEN '{name}:' || trim(substr(t, greatest(1, {at} - 80), {at} + length({found}) + 80 - greatest(1, {at} - 80)), E' \\n\\t\\r') END"
+
+
+@query("measure_flags", "SELECT k, " + ", ".join(f"{matches('t', p, f)} AS {n}" for n, p, f in V.MEASURES) + ", NOT (" + " OR ".join(matches("t", p, f) for _, p, f in V.MEASURES) + f") AND {matches('t', 'art(?:igo|[.]|º)?[[:space:]]*319', 'i')} AS outras, array_to_string(list_filter([" + ", ".join(_snippet_sql(*m) for m in V.MEASURES) + f"], lambda x: x IS NOT NULL), '|') AS trechos FROM {TEXTS_SQL}")
 def measure_flags(spark, sf_dir):
-    return texts(spark, sf_dir).select("k", classify.measures(F.col("t")).alias("m")).select("k", *[f"m.{n}" for n, _, _ in V.MEASURES])
+    m = texts(spark, sf_dir).select("k", classify.measures(F.col("t")).alias("m"))
+    told = F.array_join(F.transform("m.trechos", lambda x: F.concat_ws(":", x["cautelar"], x["trecho"])), "|")
+    return m.select("k", *[f"m.{n}" for n, _, _ in V.MEASURES], "m.outras", told.alias("trechos"))
 
 
 COVER = [
     "c_custkey AS k",
-    "concat(" + case_of("c_custkey", quoted("PJe - Processo Judicial", "folha")) + ", chr(10), " + case_of("c_custkey", quoted("Classe: Inquerito", "sem", "x")) + ", chr(10), " + case_of("c_custkey", quoted("Valor da causa: R$ 10,00", "", "y", "z")) + ", chr(10), " + case_of("c_custkey", quoted("Assunto: Furto", "", "Documentos juntados e Tipo", "", "Número do processo: 1")) + ") AS t",
+    "concat(" + case_of("c_custkey", quoted("PJe - Processo Judicial", "folha")) + ", chr(10), " + case_of("c_custkey", quoted("Órgão julgador: 1ª Vara", "Orgao  julgador:  Vara  Unica", "")) + ", chr(10), " + case_of("c_custkey", quoted("MARIA DA SILVA (AUTOR)", "", "JOSE & CIA. (EXEQUENTE)", "Ana", "X (RÉU)")) + ", chr(10), " + case_of("c_custkey", quoted("BANCO S.A. (EXECUTADO)", "PEDRO DE JESUS (REU)", "")) + ", chr(10), " + case_of("c_custkey", quoted("Última distribuição : 01/02/2020", "Ultima distribuicao: ontem", "", "x")) + ", chr(10), " + case_of("c_custkey", quoted("Classe: Inquerito", "sem", "x")) + ", chr(10), " + case_of("c_custkey", quoted("Valor da causa: R$ 10,00", "", "y", "z")) + ", chr(10), " + case_of("c_custkey", quoted("Assunto: Furto", "", "Documentos juntados e Tipo", "", "Número do processo: 1")) + ") AS t",
 ]
 COVER_SQL = f"(SELECT {', '.join(COVER)} FROM customer)"
 
@@ -461,9 +568,20 @@ def cover_score(spark, sf_dir):
     return read(spark, sf_dir, "customer").selectExpr(*COVER).select("k", classify.cover(F.col("t")).alias("c")).select("k", "c.*")
 
 
-@query("cover_metadata", "SELECT k, trim(regexp_extract(t, '(?i)Classe:\\s*([^\\n*]+)', 1)) AS classe, trim(regexp_extract(t, '(?i)Valor\\s+da\\s+causa:\\s*R?\\$?\\s*([^\\n*]+)', 1)) AS valor, trim(regexp_extract(t, '(?i)Assuntos?:\\s*([^\\n*]+)', 1)) AS assunto FROM " + COVER_SQL)
+def _field(pattern: str, flags: str = "i") -> str:
+    return f"trim(regexp_replace(regexp_extract(t, {lit(re2(pattern, flags))}, 1), '\\s+', ' ', 'g'))"
+
+
+_PARTY = "([A-ZÁ-Ú][A-ZÁ-Ú\\s.\\-&]{2,80}?)\\s*\\((?:"
+
+
+@query("cover_metadata", "SELECT k, " + ", ".join(f"{v} AS {c}" for c, v in {
+    "classe": _field("Classe:\\s*\\*?\\*?([^\\n*]+)"), "assunto": _field("Assuntos?:\\s*\\*?\\*?([^\\n*]+)"), "orgao": _field("[ÓO]rg[ãa]o\\s+julgador:\\s*([^\\n*]+)"),
+    "valor": _field("Valor\\s+da\\s+causa:\\s*R?\\$?\\s*([^\\n*]+)"), "distribuicao": _field("(?:Última|Ultima)\\s+distribui[çc][ãa]o\\s*:\\s*([^\\n*]+)"),
+    "exequente": _field(_PARTY + "EXEQUENTE|REQUERENTE|AUTOR|RECLAMANTE|IMPETRANTE)\\)", ""), "executado": _field(_PARTY + "EXECUTADO|REQUERIDO|R[ÉE]U|RECLAMADO|IMPETRADO)\\)", ""),
+}.items()) + " FROM " + COVER_SQL)
 def cover_metadata(spark, sf_dir):
-    return read(spark, sf_dir, "customer").selectExpr(*COVER).select("k", T.cover_metadata(F.col("t")).alias("c")).select("k", "c.classe", "c.valor", "c.assunto")
+    return read(spark, sf_dir, "customer").selectExpr(*COVER).select("k", T.cover_metadata(F.col("t")).alias("c")).select("k", "c.*")
 
 
 _WORDS = "regexp_split_to_array(trim(text, E' \\n\\t\\r'), '\\s+')"
@@ -550,6 +668,12 @@ def link_methods(spark, sf_dir):
     return linkage.link(*_people(spark, sf_dir)).select("idx", "metodo", "score", "revisar")
 
 
+@query("link_counts", """SELECT metodo, count(*) AS n, count(*) FILTER (metodo IN ('cnj', 'sem_match')) AS revisar, count(*) / (SELECT count(*) FROM supplier) * 100 AS percent
+FROM (SELECT CASE s_suppkey % 4 WHEN 0 THEN 'cnj' WHEN 1 THEN 'exato' WHEN 2 THEN 'fuzzy' ELSE 'sem_match' END AS metodo FROM supplier) GROUP BY 1""")
+def link_counts(spark, sf_dir):
+    return linkage.link_summary(linkage.link(*_people(spark, sf_dir)))
+
+
 PAGES = ["CAST(o_custkey AS STRING) AS numero", "o_orderkey AS ordem", f"{TEXTS[1].removesuffix(' AS t')} AS text"]
 
 
