@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -57,46 +57,60 @@ def prepare_registry(registry: DataFrame) -> DataFrame:
     return first_wins(rows.withColumn("nome_norm", match_name(F.col("nome"))), ["processo", "nome_norm"], ["pos"])
 
 
+#: Columns that letters are counted in; letters that share one only weaken the bound.
+LETTERS = 64
 
-def fuzzy_candidates(left: DataFrame, names: DataFrame, block: int = 2000) -> DataFrame:
-    """(idx, pos, score) of the best name for each of left: every name is compared, in blocks.
 
-    The names, distinct and packed into arrays of at most `block`, meet the rows left over block by block;
-    inside a block only names whose length and letters allow a score of REVIEW are compared. The best of each block is
-    all that leaves it.
-    """
-    n = max(1, -(-names.count() // block))
-    packs = names.groupBy("nome_norm").agg(F.min("pos").alias("pos")).groupBy(F.pmod(F.xxhash64("nome_norm"), F.lit(n)).cast("int").alias("b")).agg(F.collect_list(F.struct("pos", "nome_norm")).alias("pack"))
-    spread = left.select("idx", "nome_norm").withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    pairs = spread.join(packs, "b")
+def letter_counts(names: list[str]) -> np.ndarray:
+    """For each name how often its letters come, by code point modulo LETTERS."""
+    out = np.zeros((len(names), LETTERS), np.int16)
+    for row, name in zip(out, names):
+        row += np.bincount(np.array([ord(c) for c in name], np.int64) % LETTERS, minlength=LETTERS).astype(np.int16)
+    return out
+
+
+def best_names(mine: list[str], names: list[str], pos: np.ndarray) -> list[tuple[float, int] | None]:
+    """For each of mine the highest similarity of REVIEW and more and its name's position, the smallest on ties.
 
-    def best(frames):
-        bags: dict[str, Counter] = {}
+    The letters that two names have in common bound their similarity, so few pairs are compared."""
+    letters, sizes, out = letter_counts(names), np.array([len(n) for n in names]), []
+    for name, bag in zip(mine, letter_counts(mine)):
+        both = sizes + len(name)
+        most = np.where(both > 0, 200.0 * np.minimum(letters, bag).sum(axis=1) / np.maximum(both, 1), 100.0)
+        near = np.flatnonzero(most >= REVIEW)
+        top: tuple[float, int] | None = None
+        for k in near[np.argsort(-most[near], kind="stable")].tolist():
+            if top and most[k] < top[0]:
+                break
+            s = similarity(name, names[k])
+            if s >= REVIEW and (top is None or (s, -pos[k]) > (top[0], -top[1])):
+                top = (s, int(pos[k]))
+        out.append(top)
+    return out
 
-        def bag(x: str) -> Counter:
-            if len(bags) > 100_000:
-                bags.clear()
-            return bags.setdefault(x, Counter(x))
 
-        for frame in frames:
+def fuzzy_candidates(left: DataFrame, names: DataFrame, block: int = 2000) -> DataFrame:
+    """(idx, pos, score) of the best name for each of left: every name is compared, in blocks of both sides.
+
+    Both sides are packed into arrays of about `block` by hash, and each pack of left meets each pack of the distinct
+    names once; the best of each block is all that leaves it.
+    """
+    distinct = names.groupBy("nome_norm").agg(F.min("pos").alias("pos"))
+    n, m = max(1, -(-distinct.count() // block)), max(1, -(-left.count() // block))
+    packs = distinct.groupBy(F.pmod(F.xxhash64("nome_norm"), F.lit(n)).cast("int").alias("b")).agg(F.collect_list("nome_norm").alias("names"), F.collect_list("pos").alias("pos"))
+    asked = left.groupBy(F.pmod(F.xxhash64("idx"), F.lit(m)).cast("int").alias("a")).agg(F.collect_list("idx").alias("idx"), F.collect_list("nome_norm").alias("mine"))
+    spread = asked.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    pairs = spread.join(packs, "b").repartition(F.col("a"), F.col("b")).select("idx", "mine", "names", "pos")
+
+    def best(batches):
+        for batch in batches:
             out = []
-            for idx, name, pack in zip(frame["idx"], frame["nome_norm"], frame["pack"]):
-                top: tuple[float, int] | None = None
-                mine, size = bag(name), len(name)
-                for other in pack:
-                    o = other["nome_norm"]
-                    floor = max(REVIEW, top[0] if top else 0.0)
-                    both = size + len(o)
-                    if both and (200.0 * min(size, len(o)) < floor * both or 200.0 * sum((mine & bag(o)).values()) < floor * both):
-                        continue
-                    s = similarity(name, o)
-                    if s >= REVIEW and (top is None or (s, -other["pos"]) > (top[0], -top[1])):
-                        top = (s, other["pos"])
-                if top:
-                    out.append((idx, top[1], top[0]))
-            yield pd.DataFrame(out, columns=["idx", "pos", "score"])
-
-    got = pairs.select("idx", "nome_norm", "pack").mapInPandas(best, "idx long, pos long, score double")
+            for idx, mine, others, pos in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                out += [(i, top[1], top[0]) for i, top in zip(idx, best_names(mine, others, np.array(pos))) if top]
+            cols = list(zip(*out)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))], ["idx", "pos", "score"])
+
+    got = pairs.mapInArrow(best, "idx long, pos long, score double")
     return got.groupBy("idx").agg(F.max(F.struct("score", (-F.col("pos")).alias("p"))).alias("w")).select("idx", (-F.col("w.p")).alias("pos"), F.col("w.score").alias("score"))
 
 

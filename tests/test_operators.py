@@ -335,3 +335,22 @@ def test_readers_and_small_plans(spark, tmp_path):
     commands = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "cmd int, item string")
     done = {r.cmd: r.complete for r in queues.loosely_complete(commands, commands.filter("cmd = 9"), commands.filter("item = 'b'").select("item"), "cmd", "item").collect()}
     assert done == {1: True, 2: False}
+
+
+def test_best_names_equal_all_pairs():
+    import random
+
+    import numpy as np
+
+    from docketmill.operators import linkage
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(2, 7)))
+    names = [" ".join(sorted(word() for _ in range(rng.randint(1, 4)))) for _ in range(120)] + ["", "ana", "ana"]
+    mine = [n[:-1] for n in names[:40]] + [" ".join(sorted(word() for _ in range(3))) for _ in range(20)] + ["", "ana"]
+    pos = np.array(rng.sample(range(1000), len(names)))
+    want = []
+    for a in mine:
+        best = max(((linkage.similarity(a, b), -p) for b, p in zip(names, pos.tolist())), default=None)
+        want.append((best[0], -best[1]) if best[0] >= linkage.REVIEW else None)
+    assert linkage.best_names(mine, names, pos) == want and None in want
