@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, free_name, sorted_groups
+from .common import Durable, durable, free_name, sorted_groups, written
 from .components import components
 
 #: Fingerprints that one task compares with one another.
@@ -135,11 +135,13 @@ def fingerprint_links(fps: DataFrame, radius: int = 3, cell: int = CELL, name: s
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, fingerprint (hex), component_id (smallest doc_id that links lead to)."""
     rows = durable(fingerprints(docs, words, id_col, text_col))
-    fps = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(fingerprint_links(fps, radius))
-    known = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    held = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = components(fingerprint_links(held.df, radius))
+    known = held.df.join(roots, held.df["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     known = durable(known)
-    names = known.groupBy("root").agg(F.min("first").alias("component_id"))
+    held.drop()
+    # Written, so that Spark can split a component that many fingerprints have.
+    names = durable(known.groupBy("root").agg(F.min("first").alias("component_id")))
     named = known.join(names, "root").select("fp", "component_id")
     return rows.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
@@ -223,8 +225,9 @@ def rare_prefix(shingles: np.ndarray, similarity: float, keys: np.ndarray, hits:
     return shingles[order], seen[order] > 0
 
 
-def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int = SAMPLE) -> DataFrame:
-    """Links (u, v) between marks that lead from each document to all similar ones, and to some others.
+def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int = SAMPLE) -> tuple[DataFrame, list[Durable]]:
+    """Links (u, v) between marks that lead from each document to all similar ones, and to some others; and the
+    tables that they are read from.
 
     Documents with a common shingle in their prefixes are chained by their number of shingles while it
     grows by no more than the similarity allows: linear in the cell, and no similar pair is left apart.
@@ -273,16 +276,18 @@ def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int
             near = (key[1:] == key[:-1]) & (n[:-1] >= similarity * n[1:] - 1e-9) & (mark[1:] != mark[:-1])
             yield pa.RecordBatch.from_pydict({"u": pa.array(mark[1:][near], pa.int64()), "v": pa.array(mark[:-1][near], pa.int64())})
 
-    cells = durable(rows.select("mark", "text").mapInArrow(prefixes, "key long, hot boolean, n int, mark long"))
+    kept = written(rows.select("mark", "text").mapInArrow(prefixes, "key long, hot boolean, n int, mark long"))
+    cells = kept.df
     rare = cells.filter("not hot").select("key", "n", "mark").repartition("key").sortWithinPartitions("key", "n")
     # The logarithm's floor: lengths within the similarity are in the same class or in neighbouring ones.
     hot = cells.filter("hot").select("key", F.floor(F.log(F.greatest("n", F.lit(1))) / width).cast("int").alias("class"), "mark")
-    least = durable(hot.groupBy("key", "class").agg(F.min("mark").alias("least")))
+    lowest = written(hot.groupBy("key", "class").agg(F.min("mark").alias("least")))
+    least = lowest.df
     following = least.select("key", (F.col("class") - 1).alias("class"), F.col("least").alias("v"))
     few = F.broadcast(least) if least.count() <= 1_000_000 else least
     links = rare.mapInArrow(chain, "u long, v long")
     links = links.unionByName(hot.join(few, ["key", "class"]).filter("mark <> least").select(F.col("mark").alias("u"), F.col("least").alias("v")))
-    return links.unionByName(least.join(following, ["key", "class"]).select(F.col("least").alias("u"), "v"))
+    return links.unionByName(least.join(following, ["key", "class"]).select(F.col("least").alias("u"), "v")), [kept, lowest]
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,8 +299,10 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text).alias("mark"))
-    links = candidate_links(rows, words, similarity, sample)
+    links, tables = candidate_links(rows, words, similarity, sample)
     loose = durable(components(links))
+    for table in tables:
+        table.drop()
     sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
     loose = durable(loose.join(sizes, "root").select(F.col("node").alias("mark"), "root", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
 
@@ -355,7 +362,9 @@ def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without those of a similar document with a smaller id; one of each group stays.
 
-    Rows that are equal in id and text are one document and stay or go together."""
+    Rows that are equal in id and text are one document and stay or go together; null counts as empty, texts
+    without words are alike, fewer words than a shingle has give one shingle; ties in similarity do not matter, as
+    all links count; a null doc_id loses to every other; an empty table stays empty; other columns take no part."""
     found = durable(similar_documents(docs, words, similarity, SAMPLE, id_col, text_col))
     first = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "mark")).alias("k"))
     gone = durable(found.join(first, "component").filter("mark <> k.mark").select("mark"))
