@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import classify, fixed_values as V
-from ..functions.text import clean_text, dates, decision_snippet, doc_id, head_dates
+from ..functions.regex import strip
+from ..functions.text import clean_text, cover_metadata, dates, decision_snippet, doc_id, filled, first_line, head_dates, movements
 
 STATE = "cast(array() as array<struct<tipo:string,pag_ini:int,pag_fim:int,head:string,pages:array<int>,ids:array<struct<num:string,pag:string>>,confianca:double>>)"
 
@@ -107,6 +108,15 @@ def page_ranges(ids: Column) -> Column:
     return F.array_join(F.filter(F.transform(nums, runs), lambda x: x.isNotNull()), ", ")
 
 
+def covers(pages: DataFrame, text: str = "text") -> DataFrame:
+    """numero, meta, movimentos, n_paginas: fields and movements of a first page that is a cover or nearly one."""
+    t = filled(F.col(text))
+    first = F.when(F.col("pag") == 1, F.struct(classify.cover(t).alias("c"), cover_metadata(t).alias("meta"), movements(t).alias("mov")))
+    rows = pages.groupBy("numero").agg(F.count("*").alias("n_paginas"), F.max_by(first, -F.col("pag")).alias("f"))
+    known = F.coalesce(F.col("f.c.is_cover") | F.col("f.c.grey"), F.lit(False))
+    return rows.select("numero", F.when(known, F.col("f.meta")).alias("meta"), F.when(known, F.col("f.mov")).alias("movimentos"), "n_paginas")
+
+
 def case_events(pieces: DataFrame) -> DataFrame:
     """Per case the event flags and the timeline of its tracked pieces in page order."""
     page = F.when(F.col("pag_ini") == F.col("pag_fim"), F.col("pag_ini").cast("string")).otherwise(F.concat_ws("-", F.col("pag_ini").cast("string"), F.col("pag_fim").cast("string")))
@@ -175,23 +185,108 @@ def extraction_metrics(pieces: DataFrame) -> DataFrame:
     )
 
 
-def render_case(pieces: DataFrame, flags: DataFrame, covers: DataFrame | None = None) -> DataFrame:
-    """Per case one markdown text: head, status, timeline, full pieces, list of the others."""
-    rows = F.array_sort(F.collect_list(F.struct("ordem", "tipo", "pag_ini", "pag_fim", "doc_ids", "texto")))
-    cases = pieces.groupBy("numero").agg(rows.alias("p")).join(flags, "numero", "left")
-    span = lambda x: F.when(x["pag_ini"] == x["pag_fim"], x["pag_ini"].cast("string")).otherwise(F.concat_ws("-", x["pag_ini"].cast("string"), x["pag_fim"].cast("string")))
-    full = F.transform(F.filter("p", lambda x: x["tipo"].isin(V.FULL_PIECES)), lambda x: F.concat(F.lit("## "), x["tipo"], F.lit(" (p. "), span(x), F.lit(") "), page_ranges(x["doc_ids"]), F.lit("\n\n"), x["texto"]))
-    short = F.transform(F.filter("p", lambda x: x["tipo"].isin(V.SUMMARY_PIECES)), lambda x: F.concat(F.lit("- "), x["tipo"], F.lit(" (p. "), span(x), F.lit(")")))
-    timeline = F.transform("eventos", lambda e: F.concat_ws(" | ", e["pagina"], e["tipo"], F.coalesce(e["data_detectada"], F.lit("-")), e["trecho"]))
-    parts = [
-        F.concat(F.lit("# "), F.col("numero")),
-        F.concat(F.lit("**Status:** "), F.coalesce("provavel_status_cautelar", F.lit(NO_STATUS))),
-        F.concat(F.lit("**Fase:** "), F.coalesce("fase_aparente", F.lit(NO_PHASE))),
-        F.array_join(timeline, "\n"),
-        F.array_join(full, "\n\n"),
-        F.array_join(short, "\n"),
-    ]
-    return cases.select("numero", F.concat_ws("\n\n", *[F.when(x != "", x) for x in parts]).alias("markdown"))
+# Labels of the rendered text, in their order.
+COVER_LABELS = [
+    ("classe", "**Classe:** "),
+    ("assunto", "**Assunto:** "),
+    ("orgao", "**Órgão julgador:** "),
+    ("valor", "**Valor da causa:** R$ "),
+    ("distribuicao", "**Distribuição:** "),
+    ("exequente", "**Autor/Exequente:** "),
+    ("executado", "**Réu/Executado:** "),
+]
+FLAG_LABELS = [
+    ("Audiência de custódia", "tem_audiencia_custodia"),
+    ("Liberdade provisória", "tem_liberdade_provisoria"),
+    ("Cautelar Art. 319", "tem_cautelar_319"),
+    ("Termo de compromisso", "tem_termo_compromisso"),
+    ("Sursis processual", "tem_sursis_processual"),
+    ("ANPP", "tem_anpp"),
+    ("Transação penal", "tem_transacao_penal"),
+    ("Revogação de cautelar", "tem_revogacao"),
+    ("Preventiva decretada", "tem_preventiva_decretada"),
+    ("Sentença", "tem_sentenca"),
+    ("Trânsito em julgado", "tem_transito_julgado"),
+    ("Extinção da punibilidade", "tem_extincao_punibilidade"),
+]
+PEOPLE_LABELS = [("cpfs", "CPFs", 10), ("rgs", "RGs", 5), ("telefones", "Telefones", 5), ("ceps", "CEPs", 5), ("datas", "Datas", 10)]
+MOVEMENT_HEAD = ["## MOVIMENTAÇÃO PROCESSUAL", "", "| Data | Descrição |", "|------|-----------|"]
+FLAGS_HEAD = ["## SINALIZADORES PROCESSUAIS (extração automática)", ""]
+PEOPLE_HEAD = ["## DADOS PESSOAIS DETECTADOS (extração automática)", ""]
+PEOPLE_NOTE = "> Verificar papel processual (réu/vítima/testemunha) antes de cadastrar."
+#: Confidence below which a full piece says so.
+UNSURE = 0.5
+
+
+def _lines(*lines: str | Column) -> Column:
+    """An array of lines; null ones go."""
+    return F.filter(F.array(*[F.lit(x) if isinstance(x, str) else x for x in lines]), lambda x: x.isNotNull())
+
+
+def _given(values: Column, prefix: str) -> Column:
+    """prefix and the text, or null where there is none."""
+    return F.when(F.coalesce(values, F.lit("")) != "", F.concat(F.lit(prefix), values))
+
+
+def _span(x: Column) -> Column:
+    first, last = x["pag_ini"].cast("string"), x["pag_fim"].cast("string")
+    return F.when(x["pag_ini"] == x["pag_fim"], F.concat(F.lit("p."), first)).otherwise(F.concat(F.lit("p."), first, F.lit("-"), last))
+
+
+def _full_piece(x: Column) -> Column:
+    ids = page_ranges(x["doc_ids"])
+    unsure = F.when(x["confianca"] < UNSURE, F.format_string("  <!-- confiança: %.0f%% -->", F.bround(x["confianca"] * 100, 0))).otherwise("")
+    head = F.concat(F.lit("## "), x["tipo"], F.lit(" ("), _span(x), F.lit(")"), F.when(ids != "", F.concat(F.lit(" — "), ids)).otherwise(""), unsure)
+    return _lines(head, "", x["texto"], "")
+
+
+def _short_piece(x: Column) -> Column:
+    ids = page_ranges(x["doc_ids"])
+    return F.concat(F.lit("- **"), x["tipo"], F.lit("** "), _span(x), F.when(ids != "", F.concat(F.lit(" ["), ids, F.lit("]"))).otherwise(""), F.lit(": "), first_line(x["texto"]))
+
+
+def _event(e: Column) -> Column:
+    ids = page_ranges(e["doc_ids"])
+    ids = F.when(ids != "", F.concat(F.lit(" ["), ids, F.lit("]"))).otherwise("")
+    return F.concat(F.lit("  - "), e["tipo"], F.lit(" (p."), e["pagina"], ids, F.lit(")"), F.coalesce(F.concat(F.lit(" em "), e["data_detectada"]), F.lit("")))
+
+
+def render_case(pieces: DataFrame, flags: DataFrame, covers: DataFrame, people: DataFrame) -> DataFrame:
+    """Per case one markdown text: cover, movements, flags and timeline, personal data, full pieces, list of the others.
+
+    covers: numero, meta (the cover's fields), movimentos, n_paginas; people: numero, dados_pessoais.
+    """
+    rows = F.array_sort(F.collect_list(F.struct("ordem", "tipo", "pag_ini", "pag_fim", "doc_ids", "texto", "confianca")))
+    cases = pieces.groupBy("numero").agg(rows.alias("p")).join(covers, "numero", "full").join(flags, "numero", "left").join(people, "numero", "left")
+    cases = cases.withColumn("p", F.coalesce("p", F.expr("cast(array() as array<struct<ordem:int,tipo:string,pag_ini:int,pag_fim:int,doc_ids:array<struct<num:string,pag:string>>,texto:string,confianca:double>>)")))
+    full, short = F.filter("p", lambda x: x["tipo"].isin(V.FULL_PIECES)), F.filter("p", lambda x: x["tipo"].isin(V.SUMMARY_PIECES))
+    head = _lines(
+        *[_given(F.col(f"meta.{name}"), label) for name, label in COVER_LABELS],
+        F.concat(F.lit("**Total de páginas:** "), F.coalesce("n_paginas", F.lit(0)).cast("string")),
+        F.concat(F.lit("**Peças identificadas:** "), (F.size(full) + F.size(short)).cast("string")),
+    )
+    none = F.expr("cast(array() as array<string>)")
+    moved = F.transform("movimentos", lambda m: F.concat(F.lit("| "), m["data"], F.lit(" | "), m["descricao"], F.lit(" |")))
+    detected = F.array_join(_lines(*[F.when(F.col(c), label) for label, c in FLAG_LABELS]), ", ")
+    events = F.coalesce(F.transform("eventos", _event), none)
+    told = _lines(*[_given(F.array_join(F.slice(f"dados_pessoais.{c}", 1, n), ", "), f"- **{label}**: ") for c, label, n in PEOPLE_LABELS])
+    parts = F.concat(
+        _lines(F.concat(F.lit("# "), "numero"), "", F.array_join(head, "  \n"), "", "---", ""),
+        F.when(F.size("movimentos") > 0, F.concat(_lines(*MOVEMENT_HEAD), moved, _lines(""))).otherwise(none),
+        _lines(
+            *FLAGS_HEAD,
+            F.concat(F.lit("- **Fase aparente**: "), F.coalesce("fase_aparente", F.lit(NO_PHASE))),
+            F.concat(F.lit("- **Provável status da cautelar**: "), F.coalesce("provavel_status_cautelar", F.lit(NO_STATUS))),
+            _given(detected, "- **Eventos detectados**: "),
+            F.when(F.size(events) > 0, "- **Linha do tempo**:"),
+        ),
+        events,
+        _lines(""),
+        F.when(F.size(told) > 0, F.concat(_lines(*PEOPLE_HEAD), told, _lines("", PEOPLE_NOTE, ""))).otherwise(none),
+        F.flatten(F.transform(full, _full_piece)),
+        F.when(F.size(short) > 0, F.concat(_lines("## Peças Secundárias", ""), F.transform(short, _short_piece), _lines(""))).otherwise(none),
+    )
+    return cases.select("numero", F.concat(strip(F.array_join(parts, "\n")), F.lit("\n")).alias("markdown"))
 
 
 def changed_only(rendered: DataFrame, earlier: DataFrame) -> DataFrame:

@@ -354,3 +354,21 @@ def test_best_names_equal_all_pairs():
         best = max(((linkage.similarity(a, b), -p) for b, p in zip(names, pos.tolist())), default=None)
         want.append((best[0], -best[1]) if best[0] >= linkage.REVIEW else None)
     assert linkage.best_names(mine, names, pos) == want and None in want
+
+
+def test_rendered_case_has_every_section(spark):
+    from docketmill.plans.extraction import render_cases
+
+    cover = "PJe - Processo Judicial Eletrônico\nNúmero do processo: 1\nClasse: Inquérito Policial\nValor da causa: R$ 10,00\nAssunto: Furto\nDocumentos\nTipo\n05/06/2020   Conclusos para despacho"
+    sentence = "SENTENÇA\nVistos, etc. Julgo procedente o pedido e condeno o réu Fulano, CPF 123.456.789-01, em 10/02/2021.\nNum. 123456 - Pág. 2"
+    remark = "certifico que transitou em julgado. termo de remessa ao arquivo, nada mais havendo nesta data"
+    rows = [("0001", 1, cover), ("0001", 2, sentence), ("0001", 3, remark), ("0002", 1, None)]
+    got = {r.numero: r.markdown for r in render_cases(spark.createDataFrame(rows, "numero string, pag int, text string")).collect()}
+    one = got["0001"].split("\n")
+    assert one[:2] == ["# 0001", ""] and one[2] == "**Classe:** Inquérito Policial  " and "**Valor da causa:** R$ 10,00  " in one
+    assert "**Total de páginas:** 3  " in one and "| 05/06/2020 | Conclusos para despacho |" in one
+    assert "- **CPFs**: 123.456.789-01" in one and any(x.startswith("- **Datas**: 10/02/2021") for x in one)
+    assert any(x.startswith("## SENTENÇA (p.2") for x in one) or any("SENTEN" in x and x.startswith("## ") for x in one)
+    assert one[-1] == "" and one[-2] != "" and "- **Linha do tempo**:" in one
+    two = got["0002"]
+    assert two == "# 0002\n\n**Total de páginas:** 1  \n**Peças identificadas:** 0\n\n---\n\n## SINALIZADORES PROCESSUAIS (extração automática)\n\n- **Fase aparente**: Sem eventos de cautelar identificados\n- **Provável status da cautelar**: SEM CAUTELAR DETECTADA\n"
