@@ -682,7 +682,30 @@ def templated_pages(spark, sf_dir) -> DataFrame:
     return rows.select("numero", F.row_number().over(Window.partitionBy("numero").orderBy("ordem")).alias("pag"), "text")
 
 
-@query("case_flags")
+def flagship_sql() -> str:
+    """Pages to cleaned, typed pages; the ordered fold as a recursion over a case's pages; events, ladders and people."""
+    page = TEXTS[1].removesuffix(" AS t")
+    first = "(SELECT k, CASE WHEN {0} THEN regexp_extract_all(t, {1}, 1)[-1] ELSE nullif(coalesce(regexp_extract_all(t, {2}, 1)[-1], ''), '') END AS num FROM raw)".format(matches("t", V.DOC_ID_WITH_PAGE, "i"), _PAIRED, _ALONE)
+    full, tracked = ", ".join(f"'{t}'" for t in V.FULL_PIECES), ", ".join(f"'{t}'" for t in LADDER)
+    days = "regexp_extract_all({0}, '\\b\\d{{2}}/\\d{{2}}/\\d{{4}}\\b')"
+    before, now = days.format("f.head"), days.format("left(p.texto, 1500)")
+    return f"""WITH RECURSIVE raw AS (SELECT o_orderkey AS k, CAST(o_custkey AS VARCHAR) AS numero, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pag, {page} AS t FROM orders),
+clean AS (SELECT k, {_cleaned_sql('t')} AS t FROM raw),
+kind AS ({classify_sql('clean', 'k', 't')}),
+typed AS (SELECT raw.numero, raw.pag, CASE WHEN kind.confianca < 0.3 AND kind.tipo IN ({full}) THEN 'DOC' ELSE kind.tipo END AS tipo, clean.t AS texto, ids.num FROM raw JOIN clean USING (k) JOIN kind USING (k) JOIN {first} ids USING (k) WHERE length(clean.t) >= 30),
+pages AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY numero ORDER BY pag) AS n FROM typed WHERE tipo NOT IN ({', '.join("'" + t + "'" for t in V.DROPPED_PIECES)})),
+fold AS (SELECT numero, n, 0 AS ordem, tipo, pag, CASE WHEN num IS NULL THEN [] ELSE [num] END AS ids, left(texto, 1500) AS head FROM pages WHERE n = 1
+UNION ALL SELECT numero, n, CASE WHEN j THEN ordem ELSE ordem + 1 END, CASE WHEN j THEN tipo ELSE own END, pag, CASE WHEN num IS NULL THEN CASE WHEN j THEN ids ELSE [] END WHEN j THEN ids || [num] ELSE [num] END, CASE WHEN j THEN left(head || E'\\n\\n' || left(texto, 1500), 1500) ELSE left(texto, 1500) END
+FROM (SELECT p.numero, p.n, f.ordem, f.tipo, p.tipo AS own, p.pag, f.ids, p.num, f.head, p.texto, p.pag - f.pag <= 1 AND ((f.tipo = p.tipo AND coalesce(list_contains(f.ids, p.num), false))
+OR (NOT (len(f.ids) > 0 AND p.num IS NOT NULL AND NOT coalesce(list_contains(f.ids, p.num), false)) AND CASE WHEN f.tipo = p.tipo THEN NOT (len({before}) > 0 AND len({now}) > 0 AND NOT list_has_any({before}, {now})) ELSE p.tipo = 'DOC' AND f.tipo IN ({full}) END)) AS j
+FROM fold f JOIN pages p ON p.numero = f.numero AND p.n = f.n + 1)),
+pieces AS (SELECT DISTINCT numero, ordem, tipo FROM fold),
+people AS (SELECT numero, least(count(DISTINCT c), 10) AS n_cpfs FROM (SELECT numero, unnest(regexp_extract_all(texto, {lit(re2(*V.CPF))}, 1)) AS c FROM pages) GROUP BY numero)
+SELECT numero, {_when(pieces.PHASES, pieces.NO_PHASE)} AS fase_aparente, {_when(pieces.STATUSES, pieces.NO_STATUS)} AS provavel_status_cautelar, CAST(count(*) FILTER (tipo IN ({tracked})) AS INT) AS n_eventos, count(*) AS pecas, count(*) FILTER (tipo IN ({full})) AS completas, CAST(any_value(n_cpfs) AS INT) AS n_cpfs
+FROM pieces JOIN people USING (numero) GROUP BY numero"""
+
+
+@query("case_flags", flagship_sql())
 def case_flags(spark, sf_dir):
     """The flagship: pages to cleaned, typed pages, folded into pieces, to events, phase, status and people."""
     return extract_cases(templated_pages(spark, sf_dir)).select("numero", "fase_aparente", "provavel_status_cautelar", F.size("eventos").alias("n_eventos"), "pecas", "completas", F.size("dados_pessoais.cpfs").alias("n_cpfs"))
