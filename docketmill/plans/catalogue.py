@@ -318,6 +318,36 @@ def loose_completion(spark, sf_dir):
     return queues.loosely_complete(commands, commands.filter("cmd % 5 = 0"), read(spark, sf_dir, "part").filter("p_size = 7").select(F.col("p_partkey").alias("item")), "cmd", "item")
 
 
+QUEUE = ["concat(lpad(CAST(k AS STRING), 7, '0'), '-01.2020.8.05.0001') AS numero", "classe", "assunto", "'t' AS tarefa", "dias", "'m' AS ultima_mov", "k AS pos"]
+CODE_SQL = "CASE " + " ".join(f"WHEN contains(lower(trim(classe)), '{n.lower()}') OR contains('{n.lower()}', lower(trim(classe))) THEN '{code}'" for code, names in V.CASE_CLASSES for n in names) + " ELSE trim(classe) END"
+
+
+@query("enriched_queue", f"""SELECT k AS pos, {CODE_SQL} AS classe, dias AS dias_parado, lpad(CAST(k AS VARCHAR), 7, '0') || '_01_2020_8_05_0001.md' AS txt_arquivo,
+k IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 5) AS tem_pdf, k IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 6) AS ja FROM {CASES_SQL}""")
+def enriched_queue(spark, sf_dir):
+    """Cases with texts at hand and those done."""
+    lines = read(spark, sf_dir, "lineitem")
+    number = F.concat(F.lpad(F.col("l_orderkey").cast("string"), 7, "0"), F.lit("-01.2020.8.05.0001"))
+    stems = lines.filter("l_linenumber = 5").select(T.file_of_case_number(number, "").alias("stem"))
+    done = lines.filter("l_linenumber = 6").select(number.alias("numero"))
+    return queues.enrich_cases(cases(spark, sf_dir).selectExpr(*QUEUE), stems, done).select("pos", "classe", "dias_parado", "txt_arquivo", "tem_pdf", "ja")
+
+
+@query("coverage", "SELECT count(*) AS total, count(*) FILTER (l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 20)) AS com_texto FROM lineitem")
+def coverage(spark, sf_dir):
+    """Of all groups' cases how many have a text."""
+    groups = read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.concat(F.lit("1-2."), F.col("l_partkey").cast("string"))).alias("processos"))
+    return consolidate.coverage(groups, read(spark, sf_dir, "part").filter("p_size > 20").select(F.concat(F.lit("1_2_"), F.col("p_partkey").cast("string")).alias("stem")))
+
+
+@query("groups_done", "SELECT l_orderkey AS group_id, bool_or(l_linenumber = 4) OR l_orderkey % 9 = 0 AS done FROM lineitem GROUP BY 1")
+def groups_done(spark, sf_dir):
+    lines = read(spark, sf_dir, "lineitem")
+    groups = lines.select(F.col("l_orderkey").alias("group_id")).distinct()
+    analyses = lines.select(F.col("l_orderkey").alias("group_id"), F.when(F.col("l_linenumber") == 4, "x").alias("campo"))
+    return queues.groups_done(groups, analyses, groups.filter("group_id % 9 = 0"), ["campo"])
+
+
 PAIR_GROUPS = "SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey) AS p FROM lineitem GROUP BY 1"
 
 
@@ -608,6 +638,35 @@ def snippet_first_line(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", T.first_line(F.replace("text", F.lit("*"), F.lit("x"))).alias("linha"))
 
 
+_LINES = "list_transform(string_split(t, chr(10)), lambda x: trim(trim(trim(trim(x, E' \\t\\r'), '#'), '*'), E' \\t\\r'))"
+
+
+@query("decision_snippets", f"""SELECT k, coalesce(left(list_filter(l, lambda x: length(x) >= 15 AND regexp_matches(x, {lit(re2(*V.DECISION_VERBS))}))[1], 200), left(list_filter(l, lambda x: length(x) >= 20 AND NOT regexp_matches(x, {lit(re2(V.PREAMBLE[0], 'i'))}))[1], 200), trim(left(t, 200), E' \\n\\t\\r')) AS trecho
+FROM (SELECT k, t, {_LINES} AS l FROM {TEXTS_SQL})""")
+def decision_snippets(spark, sf_dir):
+    return texts(spark, sf_dir).select("k", T.decision_snippet(F.col("t")).alias("trecho"))
+
+
+_OCR = f"""SELECT doc_id, CASE WHEN length(s) = 0 THEN 0.0 ELSE (length(s) - length(regexp_replace(s, {lit(V.VALID_CHARS)}, '', 'g'))) / length(s) - 5 * ((length(s) - length(regexp_replace(s, {lit(V.CORRUPT_CHARS)}, '', 'g'))) / length(s))
++ least(len(list_filter(regexp_split_to_array(s, '\\s+'), lambda w: length(w) >= 3)) / 200.0, 1.0) END AS q, length(s) AS n FROM (SELECT doc_id, trim(coalesce(text, ''), E' \\n\\t\\r') AS s FROM documents)"""
+
+
+@query("ocr_quality", f"SELECT doc_id, CAST(round(q * 1000) AS BIGINT) AS q, n > 0 AND (q + least(n / 1000.0, 5.0) >= 1.5) AS bom FROM ({_OCR})")
+def ocr_quality(spark, sf_dir):
+    """The quality of whole texts in thousandths, and whether they win over a fixed worth of 1.5."""
+    t = F.col("text")
+    n = F.length(T.strip(T.filled(t)))
+    q = read(spark, sf_dir, "documents").select("doc_id", quality.ocr_quality(t).alias("q"), n.alias("n"))
+    return q.select("doc_id", F.round(F.col("q") * 1000).cast("long").alias("q"), ((F.col("n") > 0) & (F.col("q") + F.least(F.col("n") / 1000.0, F.lit(5.0)) >= 1.5)).alias("bom"))
+
+
+@query("result_ratios", "SELECT k, CAST(length(t) // 8 AS INT) AS tokens, CAST(round((1 - (length(t) // 2) / length(t)) * 10000) AS BIGINT) AS reducao FROM " + TEXTS_SQL)
+def result_ratios(spark, sf_dir):
+    half = F.substring(F.col("t"), F.lit(1), F.floor(F.length("t") / 2).cast("int"))
+    r = texts(spark, sf_dir).select("k", quality.result_ratios(F.col("t"), half).alias("r"))
+    return r.select("k", "r.tokens", F.round(F.col("r.reduction") * 100).cast("long").alias("reducao"))
+
+
 SCALARS = ["c_custkey AS k", "concat(' ', c_name, '  DA  SILVA de ', c_mktsegment, ' (reu) ') AS nome", "lpad(CAST(c_custkey AS STRING), CASE WHEN c_custkey % 4 = 0 THEN 9 ELSE 11 END, '0') AS cpf",
            "concat('55', lpad(CAST(c_custkey AS STRING), CASE WHEN c_custkey % 2 = 0 THEN 10 ELSE 11 END, '7')) AS fone", "concat(CAST(1 + c_custkey % 28 AS STRING), '-', CAST(1 + c_custkey % 12 AS STRING), '.', lpad(CAST(c_custkey % 100 AS STRING), 2, '0')) AS data"]
 SCALARS_SQL = f"(SELECT {', '.join(SCALARS)} FROM customer)"
