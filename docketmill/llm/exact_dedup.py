@@ -109,9 +109,25 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Null and empty texts are one group; of repeated rows one stays; ties in length go to the smaller id; an empty
     table stays empty; other columns take no part, whatever their names."""
-    row = free_name(docs, "_row")
-    numbered = durable(docs.withColumn(row, F.monotonically_increasing_id()))
-    rows = written(numbered.select(*_measured(numbered, id_col, text_col), F.col(row).alias("_row")))
-    gone = durable(decide(rows.df, k).filter(F.col("_row") != F.col("_best.r")).select(F.col("_row").alias(row)))
+    names = [free_name(docs, n) for n in ("_digest", "_id", "_size")]
+    digest, own, size = names
+    # A row's key is worked out again where it is looked up, so no copy of the texts is written.
+    key = dict(zip((own, size, digest), _measured(docs, id_col, text_col)))
+    keyed = docs.withColumns(key)
+    rows = written(keyed.select(F.col(own).alias("doc_id"), F.col(size).alias("_len"), F.col(digest).alias("digest"), F.lit(0).cast("long").alias("_row")))
+    best = F.col("doc_id").eqNullSafe(F.col("_best.i")) & (F.col("_len") == -F.col("_best.l"))
+    decided = decide(rows.df, k).groupBy("digest", "doc_id", "_len").agg(F.first(best).alias("best"), F.count("*").alias("n"))
+    decided = durable(decided.filter("NOT best OR n > 1").select(F.col("digest").alias(digest), F.col("doc_id").alias(own), F.col("_len").alias(size), "best"))
     rows.drop()
-    return numbered.join(F.broadcast(gone) if gone.count() <= most else gone, row, "left_anti").select(docs.columns)
+
+    def matching(how: str, keys: DataFrame) -> DataFrame:
+        few = F.broadcast(keys) if keys.count() <= most else keys
+        a, b = keyed.alias("a"), few.alias("b")
+        return a.join(b, F.col(f"a.{digest}").eqNullSafe(F.col(f"b.{digest}")) & F.col(f"a.{own}").eqNullSafe(F.col(f"b.{own}")) & (F.col(f"a.{size}") == F.col(f"b.{size}")), how)
+
+    out = matching("left_anti", decided.select(*names)).select(docs.columns)
+    repeated = decided.filter("best").select(*names)
+    if repeated.isEmpty():
+        return out
+    # Rows that stay, but for others with the same id and text: one of each.
+    return out.unionByName(matching("left_semi", repeated).dropDuplicates(names).select(docs.columns))

@@ -192,15 +192,32 @@ def _semi(df: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1
     return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)
 
 
+#: Shingles that a task of the sample counts at a time; beyond, those met once go.
+COUNTED = 4_000_000
+
+
+def _merged(keys: np.ndarray, hits: np.ndarray, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys with their hits, and one hit for each member of the sets."""
+    every = np.concatenate([keys, *sets])
+    keys, at = np.unique(every, return_inverse=True)
+    hits = np.bincount(at, np.concatenate([hits, np.ones(len(every) - len(hits), np.int64)]), len(keys)).astype(np.int64)
+    return (keys[hits > 1], hits[hits > 1]) if len(keys) > COUNTED else (keys, hits)
+
+
 def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of shingles that a sample of the rows (mark, text) finds frequent, and their hits."""
     share = min(1.0, max(SAMPLE_SHARE, sample / max(1, rows.count())))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What a task meets once is not sent: it may make a frequent shingle look rare, and so a cell larger.
+        held, spare = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), []
         for batch in batches:
-            sets = [shingle_set(t, words)[0] for t in batch.column(0).to_pylist()]
-            keys, hits = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "hits": pa.array(hits.astype(np.int64))})
+            spare += [shingle_set(t, words)[0] for t in batch.column(0).to_pylist()]
+            if sum(map(len, spare)) > 1_000_000:
+                held, spare = _merged(*held, spare), []
+        keys, hits = _merged(*held, spare)
+        keys, hits = keys[hits > 1], hits[hits > 1]
+        yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "hits": pa.array(hits)})
 
     counted = rows.filter(F.pmod(F.xxhash64("mark"), F.lit(1024)) < F.lit(share * 1024)).select("text").mapInArrow(count, "key long, hits long")
     top = counted.groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT).orderBy(F.desc("hits"), "key").limit(MOST_FREQUENT).toArrow()
@@ -306,17 +323,13 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
     loose = durable(loose.join(sizes, "root").select(F.col("node").alias("mark"), "root", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = [shingle_set(t, words)[0].astype("<u8").tobytes() for t in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(data, pa.binary())], ["mark", "root", "nb", "shingles"])
-
-    # Sets are shuffled once only, by cluster; a repeated row links to itself, which counts for nothing.
+    # Texts are shuffled, once only, by cluster: they take half the room of their shingle sets. A repeated row links
+    # to itself, which counts for nothing.
     few = F.broadcast(loose) if loose.count() <= 1_000_000 else loose
-    met = rows.select("mark", "text").join(few, "mark").select("mark", "root", "nb", "text").mapInArrow(sets, "mark long, root long, nb int, shingles binary")
+    met = rows.select("mark", "text").join(few, "mark").select("mark", "root", "nb", "text")
     met = met.withColumn("b", F.pmod(F.xxhash64("mark"), F.col("nb")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
-    met = met.select("root", F.explode(parts).alias("p"), "mark", "shingles").select("root", "p.i", "p.j", "mark", "shingles")
+    met = met.select("root", F.explode(parts).alias("p"), "mark", "text").select("root", "p.i", "p.j", "mark", "text")
     met = met.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "mark")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +337,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
         for part in sorted_groups(batches, keys):
             spot = list(zip(*(part.column(k).to_pylist() for k in keys)))
             marks = part.column("mark").to_pylist()
-            held = [np.frombuffer(x, "<u8") for x in part.column("shingles").to_pylist()]
+            held = [shingle_set(t, words)[0] for t in part.column("text").to_pylist()]
             us, vs, at = [], [], 0
             while at < len(spot):
                 end = at
