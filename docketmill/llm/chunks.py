@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks that a worker holds at most; at the limit the first third stays, which has the frequent ones.
-LIMIT = 600_000
+LIMIT = 400_000
 #: Characters of the longest chunk that is kept.
 LONGEST = 128
 #: Chunks that are given to a tokenizer as one text, and pretokens as one sequence.
