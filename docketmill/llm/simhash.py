@@ -149,8 +149,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
 #: For similar_documents(): documents of the frequency sample (and its least share of the table), hits in it
 #: from which a shingle is frequent, and how many frequent shingles are kept.
 SAMPLE, SAMPLE_SHARE, FREQUENT, MOST_FREQUENT = 16_384, 0.125, 3, 200_000
-#: Documents that one task compares with one another by their shingles.
-CLUSTER = 512
+#: Documents of a loose cluster that one task takes at a time; larger clusters go as pairs of such blocks.
+CLUSTER = 4096
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -337,24 +337,63 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
 
 def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """A spanning list of the pairs of sets whose Jaccard similarity is high enough; empty sets are alike."""
-    label, out = list(range(len(sets))), []
-    for step in range(1, len(sets)):
-        for a in range(len(sets) - step):
-            b = a + step
-            if label[a] == label[b]:
-                continue
-            n, m = len(sets[a]), len(sets[b])
-            if min(n, m) < similarity * max(n, m):
-                continue
-            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-            if both >= similarity * (n + m - both):
-                out.append((a, b))
-                old, new = max(label[a], label[b]), min(label[a], label[b])
-                label = [new if x == old else x for x in label]
+    """A spanning list of the pairs of sets whose Jaccard similarity is high enough; empty sets are alike.
+
+    Members are counted exactly here, so the prefixes by rareness share little but for similar sets. Sets that share
+    one of a prefix are met at growing distance in its list, pairs that are linked already are passed over, and lists
+    whose sets are all linked are dropped."""
+    n, sizes = len(sets), np.array([len(s) for s in sets], np.int64)
+    empty = np.flatnonzero(sizes == 0).tolist()
+    out = [(empty[0], k) for k in empty[1:]]
+    if not sizes.any():
+        return out
+    owner = np.repeat(np.arange(n), sizes)
+    _, member, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.lexsort((member, counts[member], owner))
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = sizes - np.maximum(1, np.ceil(similarity * sizes - 1e-9).astype(np.int64)) + 1
+    owner, member = owner[order], member[order]
+    kept = (place < first[owner]) & (counts[member] > 1)
+    owner, member = owner[kept], member[kept]
+    order = np.lexsort((owner, sizes[owner], member))
+    owner, member = owner[order], member[order]
+    starts = np.flatnonzero(np.diff(member, prepend=-1))
+    group = np.cumsum(np.diff(member, prepend=-1) != 0) - 1
+    label, tried, at, step = np.arange(n), set(), np.arange(len(owner)), 1
+    while len(at):
+        at = at[at + step < len(owner)]
+        at = at[group[at] == group[at + step]]
+        a, b = owner[at], owner[at + step]
+        met = (label[a] != label[b]) & (sizes[a] >= similarity * sizes[b] - 1e-9)
+        us, vs = [], []
+        for pair in np.unique(a[met] * n + b[met]).tolist():
+            if pair not in tried:
+                tried.add(pair)
+                u, v = divmod(pair, n)
+                both = len(np.intersect1d(sets[u], sets[v], assume_unique=True))
+                if both >= similarity * (len(sets[u]) + len(sets[v]) - both) - 1e-9:
+                    us.append(u)
+                    vs.append(v)
+        if us:
+            out += zip(us, vs)
+            label = _relabelled(label, np.array(us), np.array(vs))
+            low, high = np.minimum.reduceat(label[owner], starts), np.maximum.reduceat(label[owner], starts)
+            at = at[(low != high)[group[at]]]
+        step += 1
     return out
 
 
+def _relabelled(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels after links: the smallest label of each linked lot."""
+    while True:
+        old, low = label.copy(), np.minimum(label[a], label[b])
+        for x in (label[a], label[b], a, b):
+            np.minimum.at(label, x, low)
+        label = label[label]
+        if (label == old).all():
+            return label
+
+
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without those of a similar document with a smaller id; one of each group stays.
 

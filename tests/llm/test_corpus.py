@@ -619,3 +619,22 @@ def test_one_query_id_asks_once(spark):
     rows = [(0, [1.0, 2.0]), (0, [3.0, 1.0]), (1, [1.0, 1.0]), (2, [2.0, 0.5]), (2, [2.0, 0.5]), (3, [0.0, 9.0])]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), scale=1).orderBy("rank").collect()
     assert [tuple(r) for r in got] == [(0, 1, 3, 18), (0, 2, 1, 3), (0, 3, 2, 2), (0, 4, 2, 2)]
+
+
+def test_set_links_span_what_all_pairs_link():
+    rng = random.Random(61)
+    for _ in range(30):
+        sets = [np.zeros(0, np.uint64)] * rng.randint(0, 3)
+        for _ in range(12):
+            base = rng.sample(range(400), rng.randint(1, 60))
+            for _ in range(rng.randint(1, 6)):
+                own = [x for x in base if rng.random() > 0.08] + rng.sample(range(400, 900), rng.randint(0, 6))
+                sets.append(np.array(sorted(set(own or base)), np.uint64))
+        rng.shuffle(sets)
+        plain = [set(x.tolist()) for x in sets]
+        like = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(plain[i] & plain[j]) >= 4 * len(plain[i] | plain[j])]
+        got = simhash.set_links(sets, 0.8)
+        assert roots(len(sets), got) == roots(len(sets), like)
+        assert set(map(frozenset, got)) <= set(map(frozenset, like)) and len(got) <= len(sets)
+    many = [np.sort(np.append(np.arange(200, dtype=np.uint64), np.uint64(1000 + k))) for k in range(3000)]
+    assert len(simhash.set_links(many, 0.8)) == 2999
