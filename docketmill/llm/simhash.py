@@ -347,16 +347,29 @@ def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]
     out = [(empty[0], k) for k in empty[1:]]
     if not sizes.any():
         return out
-    owner = np.repeat(np.arange(n), sizes)
-    _, member, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Members of one set only come first in its prefix and meet nothing: they are counted, not kept.
+    every = np.sort(np.concatenate(sets))
+    again = every[1:][every[1:] == every[:-1]]
+    del every
+    shared, counts = np.unique(again, return_counts=True)
+    if not len(shared):
+        return out
+    kept = []
+    for x in sets:
+        at = np.minimum(np.searchsorted(shared, x), len(shared) - 1)
+        kept.append(at[shared[at] == x])
+    common = np.array([len(x) for x in kept], np.int64)
+    owner, member = np.repeat(np.arange(n), common), np.concatenate(kept)
     order = np.lexsort((member, counts[member], owner))
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    first = sizes - np.maximum(1, np.ceil(similarity * sizes - 1e-9).astype(np.int64)) + 1
     owner, member = owner[order], member[order]
-    kept = (place < first[owner]) & (counts[member] > 1)
-    owner, member = owner[kept], member[kept]
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(common) - common, common) + (sizes - common)[owner]
+    first = sizes - np.maximum(1, np.ceil(similarity * sizes - 1e-9).astype(np.int64)) + 1
+    inside = place < first[owner]
+    owner, member = owner[inside], member[inside]
     order = np.lexsort((owner, sizes[owner], member))
     owner, member = owner[order], member[order]
+    if not len(owner):
+        return out
     starts = np.flatnonzero(np.diff(member, prepend=-1))
     group = np.cumsum(np.diff(member, prepend=-1) != 0) - 1
     label, tried, at, step = np.arange(n), set(), np.arange(len(owner)), 1
