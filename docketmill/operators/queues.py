@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import classify, scoring
 from ..functions.text import file_of_case_number
@@ -93,20 +95,28 @@ def name_order(name: Column) -> list[Column]:
 
 def adaptive_packing(groups: DataFrame, by: list[str], order: str, size: str, target: int = PACK_TARGET, large: int = LARGE_GROUP) -> DataFrame:
     """groups with num, the number of its pack inside each of `by`: ordered first-fit up to the target, groups of
-    `large` and more alone. The fold runs over one sorted array for each of `by` (some thousand small entries).
+    `large` and more alone.
+
+    An ordered fold needs the rows of one of `by` in order in one task; they stream through it with three numbers of
+    state, so no array of them is held. Sizes that are null count as 0.
     """
-    rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(size).cast("int").alias("n"))))
-    start = F.expr("named_struct('num', 0, 'held', 0, 'out', cast(array() as array<struct<o:bigint,num:int>>))")
-
-    def step(acc: Column, x: Column) -> Column:
-        alone = x["n"] >= large
-        fits = ~alone & (acc["held"] > 0) & (acc["held"] + x["n"] <= target)
-        num = F.when(fits, acc["num"]).otherwise(acc["num"] + 1).cast("int")
-        held = F.when(alone, 0).when(fits, acc["held"] + x["n"]).otherwise(x["n"]).cast("int")
-        return F.struct(num.alias("num"), held.alias("held"), F.concat(acc["out"], F.array(F.struct(x["o"].cast("long").alias("o"), num.alias("num")))).alias("out"))
-
-    packs = groups.groupBy(*by).agg(F.aggregate(rows, start, step)["out"].alias("_p")).select(*by, F.explode("_p").alias("_p"))
-    return groups.join(packs.select(*by, F.col("_p.o").alias(order), F.col("_p.num").alias("num")), [*by, order])
+    rows = groups.repartition(*by).sortWithinPartitions(*by, order)
+
+    def run(batches):
+        now, num, held = None, 0, 0
+        for batch in batches:
+            out = []
+            for key, n in zip(zip(*(batch.column(c).to_pylist() for c in by)), batch.column(size).to_pylist()):
+                n = int(n or 0)
+                if key != now:
+                    now, num, held = key, 0, 0
+                fits = n < large and 0 < held <= target - n
+                num += not fits
+                held = 0 if n >= large else held + n if fits else n
+                out.append(num)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], [*batch.schema.names, "num"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("num", T.IntegerType())]))
 
 
 def pending_split(files: DataFrame, cache: DataFrame, outputs: DataFrame, force: bool = False) -> DataFrame:
