@@ -65,16 +65,21 @@ def enrich_cases(cases: DataFrame, texts: DataFrame, done: DataFrame) -> DataFra
 
 
 def fixed_batches(items: DataFrame, group: str, order: list[Column], has_text: str, sizes: tuple[int, int] = (WITH_TEXT, WITHOUT_TEXT)) -> DataFrame:
-    """items with place (in its group) and num, the running number of its batch: text-bearing groups first."""
-    keyed = items.withColumn("_t", F.when(F.col(has_text), 0).otherwise(1))
+    """items with place (in its group) and num, the running number of its batch: text-bearing groups first.
+
+    Null groups come last; where it is unknown whether there is text, groups of their own follow, of the size without."""
+    keyed = items.withColumn("_t", F.when(F.col(has_text), 0).when(~F.col(has_text), 1).otherwise(2))
     placed = global_rank(keyed, order, ["_t", group], "place")
     size = F.when(F.col(has_text), sizes[0]).otherwise(sizes[1])
     placed = placed.withColumn("_c", F.floor((F.col("place") - 1) / size).cast("int"))
     counts = placed.groupBy("_t", group).agg((F.max("_c") + 1).alias("_k"))
     # One row for each group: prompts, a handful.
-    before = Window.orderBy("_t", group).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("_t", F.asc_nulls_last(group)).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_base", F.coalesce(F.sum("_k").over(before), F.lit(0))).drop("_k")
-    return placed.join(counts, ["_t", group]).withColumn("num", (F.col("_base") + F.col("_c") + 1).cast("int")).drop("_t", "_c", "_base")
+    a, b = placed.alias("a"), counts.alias("b")
+    joined = a.join(b, (F.col("a._t") == F.col("b._t")) & F.col(f"a.{group}").eqNullSafe(F.col(f"b.{group}")))
+    num = (F.col("b._base") + F.col("a._c") + 1).cast("int").alias("num")
+    return joined.select(*[F.col(f"a.{c}") for c in items.columns], F.col("a.place"), num)
 
 
 def chunks(items: DataFrame, order: list[Column], size: int = EXTRACTION) -> DataFrame:

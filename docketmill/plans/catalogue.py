@@ -190,8 +190,8 @@ r AS (SELECT *, row_number() OVER (PARTITION BY tem_pdf, prompt ORDER BY score D
 c AS (SELECT *, (place - 1) // CASE WHEN tem_pdf THEN 3 ELSE 15 END AS chunk FROM r)
 SELECT o_orderkey, place, CAST(dense_rank() OVER (ORDER BY NOT tem_pdf, prompt, chunk) AS INT) AS num FROM c""")
 def fixed_batches(spark, sf_dir):
-    rows = read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderpriority AS prompt", "CAST(round(o_totalprice) AS BIGINT) AS score", "o_orderkey % 4 = 0 AS tem_pdf")
-    return queues.fixed_batches(rows, "prompt", [F.desc("score"), F.asc("o_orderkey")], "tem_pdf").select("o_orderkey", "place", "num")
+    rows = read(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderpriority AS prompt", "CAST(rint(o_totalprice) AS BIGINT) AS score", "o_orderkey % 4 = 0 AS tem_pdf")
+    return queues.fixed_batches(rows, "prompt", [F.desc("score"), F.asc_nulls_last("o_orderkey")], "tem_pdf").select("o_orderkey", "place", "num")
 
 
 @query("extraction_chunks", "SELECT p_partkey, (row_number() OVER (ORDER BY p_partkey) - 1) // 5 + 1 AS num FROM part")

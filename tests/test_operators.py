@@ -89,6 +89,20 @@ def test_batches_run_on(spark):
     assert [len(v) for _, v in sorted(sizes.items())] == [3, 1, 3, 1, 15, 1, 15, 1]
 
 
+def test_fixed_batches_equal_their_sql_on_halves_and_nulls(spark, tmp_path):
+    """The SQL's cast takes halves to the even number; null groups come last and keep their rows."""
+    import duckdb
+
+    from docketmill.plans import catalogue
+
+    rows = [(k, [None, "A", "B"][k % 3], 100.0 + (k * 7 % 40) / 2) for k in range(200)] + [(None, "A", 100.5), (None, None, 101.5)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderpriority string, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    got = catalogue.QUERIES["fixed_batches"](spark, str(tmp_path)).collect()
+    base = duckdb.connect()
+    base.execute(f"CREATE VIEW orders AS FROM '{tmp_path}/orders.parquet/*.parquet'")
+    assert {tuple(r) for r in got} == set(base.execute(catalogue.SQL["fixed_batches"]).fetchall())
+
+
 def book():
     cases = [f"{i:07d}-01.2020.8.05.0001" for i in range(6)]
     head = ["Grupo", "Polo Ativo", "Polo Passivo", "Classe", "Assunto", "Nº Processo", "Status"]
