@@ -30,7 +30,7 @@ SHAPES, WORDS, MARKS = 512, 1024, 24
 DIM = SHAPES + WORDS + MARKS
 THRESHOLD = 0.3
 #: Distinct words whose features a worker keeps.
-KNOWN = 500_000
+KNOWN = 100_000
 
 
 class Model(NamedTuple):

@@ -17,6 +17,7 @@ table gives an empty result; extra columns are left alone.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 from functools import partial
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Durable, durable, free_name, sorted_groups, written
+from .common import durable, free_name, sorted_groups, written
 from .components import components
 
 #: Fingerprints that one task compares with one another.
@@ -146,11 +147,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 3, id_col: st
     return rows.join(named, "fp", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-#: For similar_documents(): documents of the frequency sample (and its least share of the table), hits in it
-#: from which a shingle is frequent, and how many frequent shingles are kept.
-SAMPLE, SAMPLE_SHARE, FREQUENT, MOST_FREQUENT = 16_384, 0.125, 3, 200_000
-#: Documents of a loose cluster that one task takes at a time; larger clusters go as pairs of such blocks.
+#: For similar_documents(): documents of the frequency sample, hits in it from which a shingle is frequent, and how
+#: many frequent shingles are kept.
+SAMPLE, FREQUENT, MOST_FREQUENT = 16_384, 3, 200_000
+#: Hash ranges that a document may pass over, as a share of those in which similar ones may differ.
+SPARE = 0.25
+#: Documents of a cluster that one task takes at a time; larger clusters go as pairs of such blocks.
 CLUSTER = 4096
+#: Distinct words whose hashes a worker keeps.
+KNOWN = 100_000
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -173,7 +178,7 @@ _hashes = _WordHashes()
 
 def shingle_set(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct hashes of the word shingles (of all words where there are fewer), and of the words."""
-    if len(_hashes) > 500_000:
+    if len(_hashes) > KNOWN:
         _hashes.clear()
     w = text.encode("utf-8", "surrogatepass").lower().split()
     h = np.fromiter(map(_hashes.__getitem__, w), np.uint64, len(w))
@@ -192,9 +197,9 @@ def _semi(df: DataFrame, keys: DataFrame, on: list[str], how: str, most: int = 1
     return df.join(F.broadcast(keys) if keys.count() <= most else keys, on, how)
 
 
-def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that a sample of the rows (mark, text) finds frequent, and their hits."""
-    share = min(1.0, max(SAMPLE_SHARE, sample / max(1, rows.count())))
+def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) -> np.ndarray:
+    """Sorted hashes of shingles that a sample of the rows (mark, text) finds frequent."""
+    share = min(1.0, sample / max(1, rows.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,62 +207,72 @@ def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) ->
             keys, hits = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys.view(np.int64)), "hits": pa.array(hits.astype(np.int64))})
 
-    counted = rows.filter(F.pmod(F.xxhash64("mark"), F.lit(1024)) < F.lit(share * 1024)).select("text").mapInArrow(count, "key long, hits long")
-    top = counted.groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT).orderBy(F.desc("hits"), "key").limit(MOST_FREQUENT).toArrow()
-    keys, hits = top.column("key").to_numpy().view(np.uint64), top.column("hits").to_numpy()
-    order = np.argsort(keys)
-    return keys[order], hits[order]
+    counted = rows.filter(F.pmod(F.xxhash64("mark"), F.lit(2**20)) < F.lit(share * 2**20)).select("text").mapInArrow(count, "key long, hits long")
+    top = counted.groupBy("key").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT).orderBy(F.desc("hits"), "key").limit(MOST_FREQUENT)
+    return np.sort(top.select("key").toArrow().column("key").to_numpy().view(np.uint64))
 
 
-def rare_prefix(shingles: np.ndarray, similarity: float, keys: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles by (hits in the sample, hash), so many that sets of the similarity share one; which are frequent.
+_starts: dict[float, list[int]] = {}
 
-    Sets of the similarity have at least that share of the larger one in common, so neither can have all
-    common shingles behind its prefix, in whatever order all sets are put."""
+
+def size_classes(similarity: float, n: int) -> list[int]:
+    """First sizes of the size classes, up to beyond n: similar sets are in the same class or in neighbouring ones."""
+    starts = _starts.setdefault(similarity, [1])
+    while starts[-1] <= n:
+        starts.append(math.floor(starts[-1] / similarity + 1e-9) + 1)
+    return starts
+
+
+def range_signatures(shingles: np.ndarray, similarity: float, frequent: np.ndarray) -> np.ndarray:
+    """Hashes of a set's parts in ranges of the hashes; sets of the similarity have one in common.
+
+    Sets of which the smaller has at most `top` members differ in at most odd = top (1 - similarity) / similarity of
+    them. The hashes are cut into odd + 1 + spare ranges, so at least spare + 1 of these hold the same members in both.
+    Each set passes over the `spare` ranges with fewest rare members, in an order that the members themselves give:
+    the best of the ranges that agree has `spare` others behind it in either set, so neither passes over that one.
+    A set goes by the class of its own size and, for smaller partners, by the class below."""
     n = len(shingles)
-    first = n - max(1, math.ceil(similarity * n - 1e-9)) + 1
-    at = np.searchsorted(keys, shingles)
-    seen = np.zeros(n, np.int64)
-    if len(keys):
-        at[at == len(keys)] = 0
-        seen = np.where(keys[at] == shingles, hits[at], 0)
-    order = np.argsort(seen, kind="stable")[:first]
-    return shingles[order], seen[order] > 0
-
-
-def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int = SAMPLE) -> tuple[DataFrame, list[Durable]]:
-    """Links (u, v) between marks that lead from each document to all similar ones, and to some others; and the
-    tables that they are read from.
-
-    Documents with a common shingle in their prefixes are chained by their number of shingles while it
-    grows by no more than the similarity allows: linear in the cell, and no similar pair is left apart.
-    Frequent shingles may have any number of documents: theirs hang on the least mark of each length
-    class, which is partially aggregated, and classes hang together with the next one."""
-    keys, hits = frequent_shingles(rows, words, sample)
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((keys, hits))
-    width = max(0.01, -math.log(similarity))
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if not n:  # empty sets are alike
+        return np.zeros(1, np.uint64)
+    starts = size_classes(similarity, n)
+    own = bisect.bisect_right(starts, n) - 1
+    rare = np.ones(n, np.int64)
+    if len(frequent):
+        rare[frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] == shingles] = 0
+    rare = np.concatenate([[0], np.cumsum(rare)])
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(shingles, 11), dtype=np.uint64)])
+    out = []
+    for level in range(max(0, own - 1), own + 1):
+        top = starts[level + 1] - 1
+        odd = math.floor(top * (1 - similarity) / similarity + 1e-9)
+        ranges = odd + 1 + int(SPARE * odd)
+        edges = np.append(np.searchsorted(shingles, np.arange(ranges, dtype=np.uint64) * np.uint64((2**64 - 1) // ranges)), n)
+        low, high = edges[:-1], edges[1:]
+        taken = np.lexsort((low - high, rare[low] - rare[high]))[: odd + 1]
+        part = (sums[high] - sums[low])[taken]
+        out.append(_mixed(part ^ _mixed(taken.astype(np.uint64), level + 1), 12))
+    return np.concatenate(out)
+
+
+def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int = SAMPLE) -> DataFrame:
+    """Links (u, v) between marks that lead from each document to all similar ones, and to few others.
+
+    Documents with a common range signature are chained, which is linear in their number."""
+    shared = rows.sparkSession.sparkContext.broadcast(frequent_shingles(rows, words, sample))
+
+    def signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> pa.RecordBatch:
-            sizes = np.array([len(k) for k, _, _, _ in held], np.int64)
+            sizes = np.array([len(k) for k, _ in held], np.int64)
             return pa.RecordBatch.from_pydict({
-                "key": pa.array(np.concatenate([k for k, _, _, _ in held]).view(np.int64)),
-                "hot": pa.array(np.concatenate([h for _, h, _, _ in held])),
-                "n": pa.array(np.repeat(np.array([n for _, _, n, _ in held], np.int32), sizes)),
-                "mark": pa.array(np.repeat(np.array([m for _, _, _, m in held], np.int64), sizes)),
+                "key": pa.array(np.concatenate([k for k, _ in held]).view(np.int64)),
+                "mark": pa.array(np.repeat(np.array([m for _, m in held], np.int64), sizes)),
             })
 
         held, many = [], 0
         for batch in batches:
             for mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                shingles = shingle_set(t, words)[0]
-                if len(shingles):
-                    first, hot = rare_prefix(shingles, similarity, *shared.value)
-                else:  # empty sets are alike
-                    first, hot = np.zeros(1, np.uint64), np.ones(1, bool)
-                held.append((first, hot, len(shingles), mark))
-                many += len(first)
+                held.append((range_signatures(shingle_set(t, words)[0], similarity, shared.value), mark))
+                many += len(held[-1][0])
                 if many >= 100_000:
                     yield out()
                     held, many = [], 0
@@ -269,50 +284,30 @@ def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, n, mark = (batch.column(k).to_numpy() for k in ("key", "n", "mark"))
+            key, mark = (batch.column(k).to_numpy() for k in ("key", "mark"))
             if last:
-                key, n, mark = (np.concatenate([[x], y]) for x, y in zip(last, (key, n, mark)))
-            last = key[-1], n[-1], mark[-1]
-            near = (key[1:] == key[:-1]) & (n[:-1] >= similarity * n[1:] - 1e-9) & (mark[1:] != mark[:-1])
-            yield pa.RecordBatch.from_pydict({"u": pa.array(mark[1:][near], pa.int64()), "v": pa.array(mark[:-1][near], pa.int64())})
-
-    kept = written(rows.select("mark", "text").mapInArrow(prefixes, "key long, hot boolean, n int, mark long"))
-    cells = kept.df
-    rare = cells.filter("not hot").select("key", "n", "mark").repartition("key").sortWithinPartitions("key", "n")
-    # The logarithm's floor: lengths within the similarity are in the same class or in neighbouring ones.
-    hot = cells.filter("hot").select("key", F.floor(F.log(F.greatest("n", F.lit(1))) / width).cast("int").alias("class"), "mark")
-    lowest = written(hot.groupBy("key", "class").agg(F.min("mark").alias("least")))
-    least = lowest.df
-    following = least.select("key", (F.col("class") - 1).alias("class"), F.col("least").alias("v"))
-    few = F.broadcast(least) if least.count() <= 1_000_000 else least
-    links = rare.mapInArrow(chain, "u long, v long")
-    links = links.unionByName(hot.join(few, ["key", "class"]).filter("mark <> least").select(F.col("mark").alias("u"), F.col("least").alias("v")))
-    return links.unionByName(least.join(following, ["key", "class"]).select(F.col("least").alias("u"), "v")), [kept, lowest]
+                key, mark = (np.concatenate([[x], y]) for x, y in zip(last, (key, mark)))
+            last = key[-1], mark[-1]
+            met = (key[1:] == key[:-1]) & (mark[1:] != mark[:-1])
+            yield pa.RecordBatch.from_pydict({"u": pa.array(mark[1:][met], pa.int64()), "v": pa.array(mark[:-1][met], pa.int64())})
 
+    cells = rows.select("mark", "text").mapInArrow(signatures, "key long, mark long")
+    return cells.repartition("key").sortWithinPartitions("key", "mark").mapInArrow(chain, "u long, v long")
 
-def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, mark, component) of each distinct (id, text) that is like another: Jaccard of word shingles.
 
-    A rare-first prefix filter on the shingle sets finds loose clusters that hold every similar pair; the
-    sample only sets the order and so the clusters' size. Inside each loose cluster the shingle sets are
-    compared exactly. mark is a hash of the text; component is the mark of its first member.
-    """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text).alias("mark"))
-    links, tables = candidate_links(rows, words, similarity, sample)
-    loose = durable(components(links))
-    for table in tables:
-        table.drop()
-    sizes = loose.groupBy("root").agg(F.count("*").alias("n"))
-    loose = durable(loose.join(sizes, "root").select(F.col("node").alias("mark"), "root", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
-
-    # Texts are shuffled, once only, by cluster: they take half the room of their shingle sets. A repeated row links
-    # to itself, which counts for nothing.
-    few = F.broadcast(loose) if loose.count() <= 1_000_000 else loose
-    met = rows.select("mark", "text").join(few, "mark").select("mark", "root", "nb", "text")
+def _compared(rows: DataFrame, clusters: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (u, v) that connect all similar documents of each cluster (mark, root, known), but for those of the same
+    `known`, which are connected already."""
+    sizes = clusters.groupBy("root").agg(F.count("*").alias("n")).filter("n > 1")
+    spread = durable(clusters.join(sizes, "root").select("mark", "root", "known", F.ceil(F.col("n") / CLUSTER).cast("int").alias("nb")))
+
+    # Texts are shuffled by cluster: they take half the room of their shingle sets. A repeated row links to itself,
+    # which counts for nothing.
+    few = F.broadcast(spread) if spread.count() <= 1_000_000 else spread
+    met = rows.select("mark", "text").join(few, "mark").select("mark", "root", "known", "nb", "text")
     met = met.withColumn("b", F.pmod(F.xxhash64("mark"), F.col("nb")).cast("int"))
     parts = F.transform(F.sequence(F.lit(0), F.col("nb") - 1), lambda j: F.struct(F.least("b", j).alias("i"), F.greatest("b", j).alias("j")))
-    met = met.select("root", F.explode(parts).alias("p"), "mark", "text").select("root", "p.i", "p.j", "mark", "text")
+    met = met.select("root", F.explode(parts).alias("p"), "mark", "known", "text").select("root", "p.i", "p.j", "mark", "known", "text")
     met = met.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "mark")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,25 +315,54 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
         for part in sorted_groups(batches, keys):
             spot = list(zip(*(part.column(k).to_pylist() for k in keys)))
             marks = part.column("mark").to_pylist()
-            held = [shingle_set(t, words)[0] for t in part.column("text").to_pylist()]
+            known = part.column("known").to_numpy()
+            texts = part.column("text")
             us, vs, at = [], [], 0
             while at < len(spot):
                 end = at
                 while end < len(spot) and spot[end] == spot[at]:
                     end += 1
-                for a, b in set_links(held[at:end], similarity):
+                held = [shingle_set(t, words)[0] for t in texts.slice(at, end - at).to_pylist()]
+                _, first, which = np.unique(known[at:end], return_index=True, return_inverse=True)
+                for a, b in set_links(held, similarity, first[which]):
                     us.append(marks[at + a])
                     vs.append(marks[at + b])
                 at = end
             yield pa.RecordBatch.from_pydict({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
 
-    same = components(met.mapInArrow(compare, "u long, v long"))
+    return met.mapInArrow(compare, "u long, v long")
+
+
+def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, mark, component) of each distinct (id, text) that is like another: Jaccard of word shingles.
+
+    Covering LSH groups the SimHash fingerprints, and in each group the shingle sets are compared exactly. Similar
+    documents whose fingerprints differ in more bits are left to an exact way: range signatures, which all similar
+    pairs have in common, make loose clusters, and those that are not connected yet are compared in the same manner.
+    The sample only sets which ranges a signature passes over. mark is a hash of the text; component is the mark of
+    its first member.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col).cast("long"), text).alias("mark"))
+    groups = near_duplicates(rows, id_col="mark").select(F.col("doc_id").alias("mark"), F.col("component_id").alias("root")).distinct()
+    met = durable(components(_compared(rows, groups.withColumn("known", F.col("mark")), words, similarity)))
+
+    loose = components(candidate_links(rows, words, similarity, sample))
+    known = met.select(F.col("node").alias("mark"), F.col("root").alias("known"))
+    loose = loose.select(F.col("node").alias("mark"), "root").join(known, "mark", "left").withColumn("known", F.coalesce("known", "mark"))
+    loose = durable(loose)
+    parted = loose.groupBy("root").agg(F.min("known").alias("a"), F.max("known").alias("b")).filter("a <> b").select("root")
+    links = _compared(rows, loose.join(parted, "root", "left_semi"), words, similarity)
+
+    same = components(met.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(links))
     return rows.select("doc_id", "mark").distinct().join(same.select(F.col("node").alias("mark"), F.col("root").alias("component")), "mark")
 
 
-def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+def set_links(sets: list[np.ndarray], similarity: float, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning list of the pairs of sets whose Jaccard similarity is high enough; empty sets are alike.
 
+    known has for each set the first one that it is linked to already.
+
     Members are counted exactly here, so the prefixes by rareness share little but for similar sets. Sets that share
     one of a prefix are met at growing distance in its list, pairs that are linked already are passed over, and lists
     whose sets are all linked are dropped."""
@@ -372,7 +396,8 @@ def set_links(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]
         return out
     starts = np.flatnonzero(np.diff(member, prepend=-1))
     group = np.cumsum(np.diff(member, prepend=-1) != 0) - 1
-    label, tried, at, step = np.arange(n), set(), np.arange(len(owner)), 1
+    label, tried, step = np.arange(n) if known is None else known, set(), 1
+    at = np.flatnonzero((np.minimum.reduceat(label[owner], starts) != np.maximum.reduceat(label[owner], starts))[group])
     while len(at):
         at = at[at + step < len(owner)]
         at = at[group[at] == group[at + step]]
@@ -410,7 +435,8 @@ def _relabelled(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without those of a similar document with a smaller id; one of each group stays.
 
-    Rows that are equal in id and text are one document and stay or go together; null counts as empty, texts
+    Covering LSH on SimHash fingerprints proposes them, range signatures propose the rest, and shingle sets are
+    compared exactly. Rows that are equal in id and text are one document and stay or go together; null counts as empty, texts
     without words are alike, fewer words than a shingle has give one shingle; ties in similarity do not matter, as
     all links count; a null doc_id loses to every other; an empty table stays empty; other columns take no part."""
     found = durable(similar_documents(docs, words, similarity, SAMPLE, id_col, text_col))

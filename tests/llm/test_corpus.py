@@ -174,6 +174,44 @@ def test_similar_documents_equal_brute_force(spark):
     assert sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect()) == sorted(set(want))
 
 
+def test_covering_lsh_finds_near_copies_and_ranges_the_rest(spark, monkeypatch):
+    """Either source of candidates alone: near copies by their fingerprints, appended blocks by range signatures."""
+    rng = random.Random(4)
+    words = [f"t{rng.randint(0, 10**6)}" for _ in range(400)]
+    block = [f"n{rng.randint(0, 10**6)}" for _ in range(80)]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:399] + ["new"])), (3, " ".join(words + block))], "doc_id long, text string")
+    kept = lambda: sorted(r.doc_id for r in simhash.drop_near_duplicates(df).collect())
+    far = {f: (simhash.fingerprint(" ".join(words)) ^ simhash.fingerprint(t)).bit_count() for f, t in ((2, " ".join(words[:399] + ["new"])), (3, " ".join(words + block)))}
+    assert far[2] <= 3 < far[3]
+    assert kept() == [1]
+    with monkeypatch.context() as m:
+        m.setattr(simhash, "candidate_links", lambda rows, *_: rows.selectExpr("mark AS u", "mark AS v").limit(0))
+        assert kept() == [1, 3]
+    with monkeypatch.context() as m:
+        m.setattr(simhash, "near_duplicates", lambda rows, **_: rows.selectExpr("mark AS doc_id", "mark AS component_id"))
+        assert kept() == [1]
+
+
+def test_range_signatures_meet_and_chance_does_not():
+    rng = np.random.default_rng(3)
+    for similarity in (0.6, 0.8, 0.9):
+        for _ in range(600):
+            a = int(np.exp(rng.uniform(0, 6.5)))
+            b = int(rng.integers(a, int(a / similarity + 1e-9) + 1))
+            both = int(np.ceil(similarity * (a + b) / (1 + similarity) - 1e-9))
+            if both > a:
+                continue
+            pool = rng.integers(0, 2**64, a + b - both, dtype=np.uint64)
+            x, y = np.sort(pool[:a]), np.sort(pool[a - both :])
+            frequent = np.sort(pool[rng.random(len(pool)) < 0.2])
+            assert len(np.intersect1d(simhash.range_signatures(x, similarity, frequent), simhash.range_signatures(y, similarity, frequent)))
+    # A passage of a tenth of the shingles, common to all: prefixes of rare shingles would meet in any one of these.
+    common = rng.integers(0, 2**64, 30, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([common, rng.integers(0, 2**64, 270, dtype=np.uint64)])) for _ in range(100)]
+    keys = np.concatenate([np.unique(simhash.range_signatures(x, 0.8, np.sort(common))) for x in sets])
+    assert len(np.unique(keys)) == len(keys)
+
+
 def test_substring_dedup(docs, plain, empty):
     words = [WORD.findall(t) for _, t in plain]
     first = {}
