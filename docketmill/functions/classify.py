@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .regex import bound, folded, hits, hits_in, java, strip
+from .regex import bound, folded, hits, hits_in, java, needed, strip
 from .text import filled
 
 HEAD, WINDOW = 400, 3000
@@ -22,18 +22,34 @@ def windows(text: Column, size: int = WINDOW) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(text, i * step + 1, F.lit(size)))
 
 
-def _type_score(text: Column, low: Column, least: int, signals: list[tuple[str, str, int]], bonus: Column) -> Column:
+def _type_score(text: Column, least: int, signals: list[tuple[str, str, int]], can: list[Column], bonus: Column) -> Column:
     head = F.substring(text, 1, HEAD)
     # The head is only looked at where the whole was hit.
-    parts = [F.when(hits_in(text, low, p, f), F.when(bonus & hits(head, p, f), 2 * w).otherwise(w)).otherwise(0) for p, f, w in signals]
+    parts = [F.when(c & hits(text, p, f), F.when(bonus & hits(head, p, f), 2 * w).otherwise(w)).otherwise(0) for (p, f, w), c in zip(signals, can)]
     return bound(reduce(lambda a, b: a + b, parts), lambda total: F.when(total >= least, total).otherwise(0))
 
 
-def type_scores(text: Column, bonus: Column | None = None, rules: Rules = V.PIECE_RULES) -> Column:
+def _possible(low: Column, rules: Rules) -> list[list[Column]]:
+    """For each rule's signals whether folded text can hold a match."""
+    return [[F.lit(True) if (can := needed(low, p)) is None else can for p, _, _ in signals] for _, _, signals in rules]
+
+
+def type_scores(text: Column, bonus: Column | None = None, rules: Rules = V.PIECE_RULES, whole: Column | None = None, part: Column | None = None) -> Column:
     """array<int> in rule order: the weights of the signals that hit, those in the head twice under a
-    bonus; zero below the type's least score."""
+    bonus; zero below the type's least score.
+
+    whole has for each signal whether a text that this one is cut from can hold a match; where part is false, that
+    is all of this one."""
     more = F.lit(True) if bonus is None else bonus
-    return bound(folded(text), lambda low: F.array(*[_type_score(text, low, least, signals, more) for _, least, signals in rules]))
+
+    def scores(low: Column) -> Column:
+        can = _possible(low, rules)
+        if whole is not None:
+            at = iter(range(sum(map(len, can))))
+            can = [[F.get(whole, F.lit(next(at))) & (~part | c) for c in each] for each in can]
+        return F.array(*[_type_score(text, least, signals, each, more) for (_, least, signals), each in zip(rules, can)])
+
+    return bound(folded(text), scores)
 
 
 def confidence(best: Column, second: Column) -> Column:
@@ -58,27 +74,28 @@ def classify(text: Column, rules: Rules = V.PIECE_RULES, size: int = WINDOW, man
 
 
 def _classified(text: Column, rules: Rules, size: int, many: bool, least: int) -> Column:
-    long = (F.length(text) > size) & F.lit(many)
-    parts = F.when(long, windows(text, size)).otherwise(F.array(F.substring(text, 1, size)))
-    # One more part for long texts, looked at where no window has a type.
-    parts = F.when(long, F.concat(parts, F.array(F.substring(text, 1, 2 * size)))).otherwise(parts)
-    scored = F.transform(F.array(parts), lambda ps: F.transform(ps, lambda w, i: F.struct(i.alias("i"), type_scores(w, (i == 0) | (i == F.size(ps) - 1), rules).alias("s"))))[0]
-    start = F.struct(F.array_repeat(F.lit(0.0), len(rules)).alias("s"), F.array_repeat(F.lit(2**31 - 1), len(rules)).alias("w"))
+    # What the whole text cannot hold is not looked for in its windows.
+    whole = bound(folded(text), lambda low: F.array(*[c for each in _possible(low, rules) for c in each]))
+    return bound(F.struct(whole.alias("whole"), ((F.length(text) > size) & F.lit(many)).alias("long")), lambda x: _told(text, rules, size, least, x["whole"], x["long"]))
 
-    def ranked(each: Column) -> Column:
-        summed = F.aggregate(
-            F.slice(each, 1, F.greatest(F.size(each) - F.when(long, 1).otherwise(0), F.lit(1))),
-            start,
-            lambda a, x: F.struct(
-                F.zip_with(a["s"], x["s"], lambda p, q: p + q * F.when(long & (x["i"] == 0), 1.5).otherwise(1.0)).alias("s"),
-                F.zip_with(a["w"], x["s"], lambda p, q: F.when(q > 0, F.least(p, x["i"])).otherwise(p)).alias("w"),
-            ),
-        )
-        found = F.transform(F.array(summed), lambda x: _ranked(x["s"], x["w"]))[0]
-        wide = _ranked(F.element_at(each, -1)["s"].cast("array<double>"), F.array_repeat(F.lit(0), len(rules)))
-        return F.transform(F.array(found), lambda r: F.when(F.size(r) > 0, r).otherwise(wide))[0]
 
-    best = F.transform(F.array(scored), ranked)[0]
+def _told(text: Column, rules: Rules, size: int, least: int, whole: Column, long: Column) -> Column:
+    parts = F.when(long, windows(text, size)).otherwise(F.array(F.substring(text, 1, size)))
+    scored = F.transform(parts, lambda w, i: F.struct(i.alias("i"), type_scores(w, i == 0, rules, whole, long).alias("s")))
+    start = F.struct(F.array_repeat(F.lit(0.0), len(rules)).alias("s"), F.array_repeat(F.lit(2**31 - 1), len(rules)).alias("w"))
+    summed = F.aggregate(
+        scored,
+        start,
+        lambda a, x: F.struct(
+            F.zip_with(a["s"], x["s"], lambda p, q: p + q * F.when(long & (x["i"] == 0), 1.5).otherwise(1.0)).alias("s"),
+            F.zip_with(a["w"], x["s"], lambda p, q: F.when(q > 0, F.least(p, x["i"])).otherwise(p)).alias("w"),
+        ),
+    )
+    found = bound(summed, lambda x: _ranked(x["s"], x["w"]))
+    # Only worked out where no window of a long text has a type.
+    wide = type_scores(F.substring(text, 1, 2 * size), None, rules, whole, long).cast("array<double>")
+    wide = _ranked(wide, F.array_repeat(F.lit(0), len(rules)))
+    best = bound(found, lambda r: F.when((F.size(r) > 0) | ~long, r).otherwise(wide))
     names = F.array(*[F.lit(n) for n, _, _ in rules])
 
     def told(r: Column) -> Column:

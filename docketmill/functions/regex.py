@@ -70,8 +70,28 @@ def literals(pattern: str, least: int = 3) -> tuple[str, ...]:
     return tuple(_needed(list(tree), least) or ())
 
 
+@lru_cache(maxsize=None)
+def parts(pattern: str, least: int = 2) -> tuple[tuple[str, ...], ...]:
+    """Lots of lower-case strings; every match holds at least one of each lot. The longest come first."""
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            import re._parser as parser
+
+            tree = parser.parse(pattern)
+    except Exception:  # noqa: BLE001  a pattern that only Java can read
+        return ()
+    lots = dict.fromkeys(tuple(sorted(set(o))) for o in _options(list(tree), least))
+    return tuple(sorted(lots, key=lambda o: -min(map(len, o))))
+
+
 def _needed(items: list, least: int) -> list[str] | None:
     """Of the parts that every match has the strings whose shortest is longest."""
+    return max(_options(items, least), key=lambda o: min(map(len, o)), default=None)
+
+
+def _options(items: list, least: int) -> list[list[str]]:
+    """The parts that every match has, each as the strings that it can be."""
     options: list[list[str]] = []
     run = ""
     for op, arg in [*items, (None, None)]:
@@ -92,13 +112,13 @@ def _needed(items: list, least: int) -> list[str] | None:
             inner = None if None in each else sum(each, [])
         if inner:
             options.append(inner)
-    return max(options, key=lambda o: min(map(len, o)), default=None)
+    return options
 
 
 def needed(low: Column, pattern: str) -> Column | None:
     """Whether folded text can hold a match at all, or None where nothing is known."""
-    found = literals(pattern)
-    return reduce(lambda a, b: a | b, [low.contains(x) for x in found]) if found else None
+    lots = [reduce(lambda a, b: a | b, [low.contains(x) for x in lot]) for lot in parts(pattern)]
+    return reduce(lambda a, b: a & b, lots) if lots else None
 
 
 def hits_in(text: Column, low: Column, pattern: str, flags: str = "") -> Column:

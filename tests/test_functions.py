@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docketmill.functions import classify, fixed_values as V, quality, scoring, text as T
-from docketmill.functions.regex import java
+from docketmill.functions.regex import java, needed
 
 
 def one(spark, column, **values):
@@ -204,3 +204,13 @@ def test_scoring(spark):
 def test_urgency(spark, days, subject, want):
     got = spark.range(1).select(scoring.urgency(F.lit(days), F.lit(subject), F.lit("")).alias("u")).first().u
     assert (got.score, got.urgencia) == want
+
+
+def test_patterns_are_tried_only_where_all_that_they_need_is_there(spark):
+    custody = r"\bart\.?\s*310[\s,]+(?:caput|do cpp|cpp)"
+    got = texts(spark, ["art. 310, do cpp", "art 310 caput", "a parte do cpp", "art. 310 do cp", "310 cpp"], needed(F.col("t"), custody))
+    assert got == [True, True, False, False, False]
+    # Signals that only together, in twice the window from the start, make a type.
+    wide = "x " * 225 + "intime-se " + "x " * 1020 + "cumpra-se " + "x " * 1495 + "cite-se" + " x" * 1000
+    near = "medidas cautelares diversas" + " x" * 5000 + " auto de " + "y " * 3000
+    assert texts(spark, [wide, near], classify.classify(F.col("t"))["tipo"]) == ["DESPACHO", "CAUTELAR_319"]
