@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import keeps
+
 #: Chunks that a worker holds at most; at the limit the first third stays, which has the frequent ones.
 LIMIT = 400_000
 #: Characters of the longest chunk that is kept.
@@ -296,3 +298,12 @@ def pieces(path: str) -> Chunked:
     table = Chunked(words, encode, whole)
     table.plain = plain  # type: ignore[attr-defined]
     return table
+
+
+def _forget() -> None:
+    """Let the tables go, and the tokenizers, which they refer to."""
+    for made in (byte_bpe, word_bpe, pieces, _tokenizer, _pieces):
+        made.cache_clear()
+
+
+keeps("chunks", _forget)

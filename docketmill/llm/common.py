@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -94,6 +96,34 @@ def durable(df: DataFrame) -> DataFrame:
     return written(df).df
 
 
+#: How each module's tables, which a worker keeps from task to task, are emptied; whose task began last in it.
+_tables: dict[str, Callable[[], object]] = {}
+_last: list[str] = [""]
+
+
+def keeps(owner: str, clear: Callable[[], object]) -> None:
+    """Register how the tables that owner keeps in a worker are emptied."""
+    _tables[owner] = clear
+
+
+def begin(owner: str) -> None:
+    """Free the tables that others have left in this worker; for the start of a task of owner.
+
+    Spark hands a worker to the next stage as it is: tables that nothing will ask again would add up there."""
+    if _last[0] == owner:
+        return
+    _last[0] = owner
+    for other, clear in _tables.items():
+        if other != owner:
+            clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:  # what glibc holds of freed memory
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply fn to every Arrow batch."""
 

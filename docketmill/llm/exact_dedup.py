@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, free_name, written
+from .common import begin, durable, free_name, written
 
 #: Counters of the Misra-Gries summary, and so the most digests that are ever broadcast.
 HEAVY = 256
@@ -52,6 +52,7 @@ def heavy_digests(digests: DataFrame, column: str, k: int = HEAVY) -> DataFrame:
     """
 
     def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("exact_dedup")
         held = misra_gries((x for b in batches for x in b.column(0).to_pylist()), k)
         yield pa.RecordBatch.from_pydict({"digest": pa.array(list(held), pa.binary()), "n": pa.array(list(held.values()), pa.int64())})
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import begin, keeps
+
 SAMPLE, RANK, NEIGHBOURS, POWER = 4000, 48, 25, 8
 SHAPES, WORDS, MARKS = 512, 1024, 24
 DIM = SHAPES + WORDS + MARKS
@@ -60,6 +62,7 @@ class _Features(dict):
 
 
 _known = _Features()
+keeps("quality", _known.clear)
 
 
 def counts(texts: list[str]) -> np.ndarray:
@@ -146,6 +149,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = rows.join(F.broadcast(known), "doc_id")  # at most `sample` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for batch in batches:
             raw = counts(batch.column(1).to_pylist())
             sparse = [(np.flatnonzero(r).astype("<i4").tobytes(), r[r != 0].astype("<f4").tobytes()) for r in raw]
@@ -163,6 +167,7 @@ def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_co
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for batch in batches:
             score = vote(sent.value, counts(batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "held_out": batch.column(1), "score": pa.array(score, pa.float64()), "predicted": pa.array((score >= threshold).astype(np.int32))})
@@ -179,6 +184,7 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     schema, sent = docs.schema, docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("quality")
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             yield batch.filter(pa.array(vote(sent.value, counts([t or "" for t in texts])) >= threshold))

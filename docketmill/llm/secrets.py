@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import begin
+
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -196,6 +198,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     it that its novelty is measured against."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("secrets")
         for batch in batches:
             found = [all_spans(t, near, around) for t in batch.column(1).to_pylist()]
             counts = {f"n_{name}": pa.array([sum(x[1] == k for x in every) for _, every in found], pa.int64()) for k, name in enumerate(KINDS)}
@@ -213,6 +216,7 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", near: int = NEAR, ar
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("secrets")
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             texts = [None if t is None else redact(t, all_spans(t, near, around)[1]) for t in batch.column(at).to_pylist()]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, free_name, sorted_groups, written
+from .common import begin, durable, free_name, keeps, sorted_groups, written
 from .components import components
 
 #: Fingerprints that one task compares with one another.
@@ -64,6 +64,7 @@ def fingerprints(docs: DataFrame, words: int = 3, id_col: str = "doc_id", text_c
     """doc_id, fp (the 64 bits as a long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         for batch in batches:
             fp = [_signed(fingerprint(t, words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column(0), "fp": pa.array(fp, pa.int64())})
@@ -120,6 +121,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 3, cell: int = CELL, name: s
     met = met.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         keys = ["t", "key", "i", "j"]
         for part in sorted_groups(batches, keys):
             cols = [part.column(k).to_numpy() for k in keys]
@@ -174,6 +176,7 @@ class _WordHashes(dict):
 
 
 _hashes = _WordHashes()
+keeps("simhash", _hashes.clear)
 
 
 def shingle_set(text: str, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -202,6 +205,7 @@ def frequent_shingles(rows: DataFrame, words: int = 5, sample: int = SAMPLE) ->
     share = min(1.0, sample / max(1, rows.count()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         for batch in batches:
             sets = [shingle_set(t, words)[0] for t in batch.column(0).to_pylist()]
             keys, hits = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -268,6 +272,7 @@ def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int
                 "mark": pa.array(np.repeat(np.array([m for _, m in held], np.int64), sizes)),
             })
 
+        begin("simhash")
         held, many = [], 0
         for batch in batches:
             for mark, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -280,6 +285,7 @@ def candidate_links(rows: DataFrame, words: int, similarity: float, sample: int
             yield out()
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         last = None
         for batch in batches:
             if not batch.num_rows:
@@ -311,6 +317,7 @@ def _compared(rows: DataFrame, clusters: DataFrame, words: int, similarity: floa
     met = met.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "mark")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("simhash")
         keys = ["root", "i", "j"]
         for part in sorted_groups(batches, keys):
             spot = list(zip(*(part.column(k).to_pylist() for k in keys)))

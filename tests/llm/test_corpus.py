@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers as P
-from docketmill.llm import chunks, components, exact_dedup, packing, quality, secrets, sentencepiece_codec, simhash, substring_dedup, token_counts, token_shards, topk
+from docketmill.llm import chunks, common, components, exact_dedup, packing, quality, secrets, sentencepiece_codec, simhash, substring_dedup, token_counts, token_shards, topk
 from docketmill.llm.common import prepare
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double"
@@ -676,3 +676,46 @@ def test_set_links_span_what_all_pairs_link():
         assert set(map(frozenset, got)) <= set(map(frozenset, like)) and len(got) <= len(sets)
     many = [np.sort(np.append(np.arange(200, dtype=np.uint64), np.uint64(1000 + k))) for k in range(3000)]
     assert len(simhash.set_links(many, 0.8)) == 2999
+
+
+def test_every_stage_frees_the_tables_that_others_left_in_its_worker(docs, monkeypatch):
+    mapped, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, fn, *rest, **more: (mapped.append(fn), real(df, fn, *rest, **more))[1])
+    none = quality.fit(np.zeros((0, quality.DIM), np.float32), np.zeros(0, np.float32))
+    quality.keep_good(docs, none)
+    exact_dedup.heavy_digests(docs.selectExpr("unhex(sha2(text, 256)) digest"), "digest")
+    simhash.fingerprint_links(simhash.fingerprints(docs))
+    simhash.candidate_links(docs.selectExpr("doc_id mark", "coalesce(text, '') text"), 5, 0.8)
+    secrets.redact_secrets(docs)
+    packing.token_pieces(docs, P.path("word_bpe_49k.json"))
+    assert len(mapped) >= 8
+    for fn in mapped:
+        common.begin("another")
+        quality._known["left"] = simhash._hashes[b"left"] = 1
+        list(fn(iter([])))
+        assert not ("left" in quality._known and b"left" in simhash._hashes)
+
+
+def test_beginning_a_task_empties_the_tables_of_other_operators():
+    text, path = "alpha beta gamma delta epsilon zeta", P.path("word_bpe_49k.json")
+    common.begin("quality")
+    quality.counts([text])
+    common.begin("quality")
+    assert quality._known  # its own stay
+    common.begin("simhash")
+    before = simhash.shingle_set(text)[0]
+    assert not quality._known and simhash._hashes
+    common.begin("chunks")
+    ids = chunks.ids_of(chunks.word_bpe(path), pa.array([text])).to_pylist()
+    assert not simhash._hashes and chunks.word_bpe.cache_info().currsize
+    common.begin("secrets")
+    assert not any(made.cache_info().currsize for made in (chunks.word_bpe, chunks.byte_bpe, chunks.pieces, chunks._tokenizer))
+    assert (simhash.shingle_set(text)[0] == before).all()
+    assert chunks.ids_of(chunks.word_bpe(path), pa.array([text])).to_pylist() == ids
+
+
+def test_packing_few_texts_at_a_time_gives_the_same_pieces(docs):
+    path = P.path("word_bpe_49k.json")
+    key = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    whole = key(packing.token_pieces(docs, path, 64))
+    assert key(packing.token_pieces(docs, path, 64, at_once=1)) == whole == key(packing.token_pieces(docs, path, 64, at_once=3))
