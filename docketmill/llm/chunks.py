@@ -214,15 +214,15 @@ def byte_bpe(path: str) -> Chunked:
 
 
 @lru_cache(maxsize=4)
-def word_bpe(path: str) -> Chunked:
-    """BPE over words with white space dropped. Values: ids as uint32 bytes."""
+def word_bpe(path: str, limit: int = LIMIT) -> Chunked:
+    """BPE over words with white space dropped. Values: ids as uint32 bytes. limit: chunks that its table holds at most."""
     tok = _tokenizer(path)
     glue = "<|startoftext|>"
     mark = tok.token_to_id(glue)
     # The normalizer and pre-tokenizer of the public CLIP vocabulary.
     normal = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
     pattern = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
-    runs = Pretokens(tok, f"[{LETTERS}]+|[0-9]|[{SIGNS}]+", [{"type": "Sequence", "pretokenizers": [pattern, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}])
+    runs = Pretokens(tok, f"[{LETTERS}]+|[0-9]|[{SIGNS}]+", [{"type": "Sequence", "pretokenizers": [pattern, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}], limit // 2)
     lowers = json.loads(tok.to_str())["normalizer"] == normal
 
     def whole(text: str) -> bytes:
@@ -239,7 +239,7 @@ def word_bpe(path: str) -> Chunked:
             out[i] = ids
         return out
 
-    return Chunked(pc.ascii_split_whitespace, encode, whole)
+    return Chunked(pc.ascii_split_whitespace, encode, whole, limit)
 
 
 def ids_of(table: Chunked, texts: pa.Array) -> pa.Array:

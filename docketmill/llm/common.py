@@ -22,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def prepare(spark: SparkSession) -> None:
+def prepare(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches of the session, as texts may be long; tighter bounds that it has stay.
 
     The queries and stages call this, the operators do not: they take batches of any size."""
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", size)):
         key = f"spark.sql.execution.arrow.{key}"
         given = str(spark.conf.get(key)).rstrip("bB")
         if not given.isdigit() or not 0 < int(given) <= most:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import ids_of, word_bpe
+from .chunks import LIMIT, ids_of, word_bpe
 from .common import begin, durable, partitions_for
 
 CAPACITY = 2048
@@ -261,21 +261,16 @@ def places(plan: list[tuple[list[int], int]], capacity: int = CAPACITY) -> dict[
     return {s: tuple(np.array(x, np.int64) for x in zip(*runs)) for s, runs in out.items()}
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", at_once: int | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: documents cut only where they are longer than the capacity.
 
-    at_once: texts that a worker encodes at a time; fewer take less memory and more time. Without it, whole batches."""
+    limit: chunks that a worker's table holds at most; fewer take less memory and more time, the result is the same."""
     tail, step = int(end_id).to_bytes(4, "little"), 4 * capacity
 
-    def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            most = at_once or max(1, batch.num_rows)
-            yield from (batch.slice(at, most) for at in range(0, batch.num_rows, most))
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begin("chunks")
-        table = word_bpe(tokenizer)
-        for batch in slices(batches):
+        begin(f"packing {limit}")
+        table = word_bpe(tokenizer, limit)
+        for batch in batches:
             data = ids_of(table, batch.column(1)).to_pylist()
             sizes = np.array([len(x) // 4 + 1 for x in data], np.int64)
             parts = -(-sizes // capacity)
@@ -320,6 +315,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, buckets: int | None = None
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
-def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, at_once: int | None = None) -> DataFrame:
+def best_fit_packing(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = 0, limit: int = LIMIT) -> DataFrame:
     """Tokenize, cut and pack: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack(durable(token_pieces(docs, tokenizer, capacity, end_id, at_once=at_once)), capacity)
+    return pack(durable(token_pieces(docs, tokenizer, capacity, end_id, limit=limit)), capacity)
