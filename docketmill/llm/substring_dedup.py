@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sorted_groups, written
+from .common import begin, keeps, sorted_groups, written
 
 WINDOW = 50
 #: Suffixes that a prefix may have before it is lengthened.
@@ -58,6 +58,9 @@ class _Words(dict):
 
 
 _known, _second = _Words(0x5EED), _Words(0xD1CE)
+#: Whose tasks know words; the others of this module free them, as they ask for none.
+KNOW, COMPARE = "substring_dedup", "substring_dedup, compared"
+keeps(KNOW, _known.clear)
 
 
 def split_words(text: str) -> list[bytes]:
@@ -114,6 +117,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
     """prefix, doc_id, row, pos: the distinct anchors of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(KNOW)
         for batch in batches:
             prefix, at, sizes = [], [], []
             for text in batch.column(2).to_pylist():
@@ -137,6 +141,7 @@ def _suffixes(held: DataFrame, window: int) -> DataFrame:
     window's start to the last one's end; of lengthened prefixes two hashes of each window instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(KNOW)
         types = (pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         names = [c.split()[0] for c in SUFFIXES.split(", ")]
         for batch in batches:
@@ -234,6 +239,7 @@ def _subtrees(window: int):
     """The repeats below each prefix: windows that equal one of a smaller document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(COMPARE)
         for part in sorted_groups(batches, ["prefix"]):
             doc, row, first, rel = (part.column(k).to_numpy().astype(np.int64) for k in ("doc_id", "row", "first", "rel"))
             leaf, least = least_documents(part.column("words").combine_chunks(), rel, doc, window)
@@ -255,6 +261,7 @@ def _windows_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 def _window_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the windows in a batch the smallest and largest document."""
+    begin(COMPARE)
     for batch in batches:
         at, _, key = _windows_of(batch)
         doc = batch.column("doc_id").to_numpy()[at]
@@ -262,15 +269,16 @@ def _window_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, doc = key[order], doc[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]).any(axis=1)
-        begin = np.flatnonzero(new)
-        end = np.append(begin[1:], len(order)) - 1 if len(begin) else begin
-        yield pa.RecordBatch.from_pydict({"w1": pa.array(key[begin, 0]), "w2": pa.array(key[begin, 1]), "a": pa.array(doc[begin], pa.int64()), "b": pa.array(doc[end], pa.int64())})
+        low = np.flatnonzero(new)
+        high = np.append(low[1:], len(order)) - 1 if len(low) else low
+        yield pa.RecordBatch.from_pydict({"w1": pa.array(key[low, 0]), "w2": pa.array(key[low, 1]), "a": pa.array(doc[low], pa.int64()), "b": pa.array(doc[high], pa.int64())})
 
 
 def _against(sent):
     """Repeats among rows of lengthened prefixes, by the broadcast windows: sorted hashes and smallest documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(COMPARE)
         keys, least = sent.value
         for batch in batches:
             at, nth, key = _windows_of(batch)
@@ -290,6 +298,7 @@ def _against(sent):
 
 def _each_window(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each window of the rows."""
+    begin(COMPARE)
     for batch in batches:
         at, nth, key = _windows_of(batch)
         doc, row, first = (batch.column(k).to_numpy()[at] for k in ("doc_id", "row", "first"))
@@ -328,6 +337,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     found = repeated_ranges(rows, window).groupBy("doc_id", "row").agg(F.collect_list(F.struct("s", "e")).alias("ranges"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(COMPARE)
         for batch in batches:
             n, removed, kept = [], [], []
             for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):

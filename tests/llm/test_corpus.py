@@ -696,6 +696,27 @@ def test_every_stage_frees_the_tables_that_others_left_in_its_worker(docs, monke
         assert not ("left" in quality._known and b"left" in simhash._hashes)
 
 
+def test_substring_dedup_frees_what_others_left_and_its_words_once_it_compares(docs, monkeypatch):
+    mapped, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, fn, *rest, **more: (mapped.append(fn), real(df, fn, *rest, **more))[1])
+    rows = docs.select("doc_id", F.hash("text").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    substring_dedup.remove_repeats(docs)
+    substring_dedup.repeated_ranges(rows, 50, 0, 0)  # window by window
+    kept = []
+    for fn in mapped:
+        common.begin("another")
+        quality._known["left"] = 1
+        list(fn(iter([])))
+        assert "left" not in quality._known
+        common.begin(substring_dedup.KNOW)
+        substring_dedup._known[b"left"] = 1
+        list(fn(iter([])))
+        kept.append(b"left" in substring_dedup._known)
+    assert len(kept) == 11 and sum(kept) == 4  # anchors and suffixes, twice each
+    common.begin("another")
+    assert not substring_dedup._known
+
+
 def test_beginning_a_task_empties_the_tables_of_other_operators():
     text, path = "alpha beta gamma delta epsilon zeta", P.path("word_bpe_49k.json")
     common.begin("quality")
